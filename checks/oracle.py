@@ -85,7 +85,7 @@ strengths as materialized (
   from pairs p join margins l on l.a = p.a join margins r on r.a = p.b, total where n >= 3),
 near as materialized (
   select term, neighbour, strength from strengths where strength > 0
-  qualify row_number() over (partition by term order by strength desc, neighbour) <= 5)
+  qualify row_number() over (partition by term order by strength desc, neighbour) <= 3)
 """
 
 
@@ -216,6 +216,13 @@ rescored as materialized (
   {top('(select query_id, chunk_id, cos.score from first_pass join cos using (query_id, chunk_id))', 10)})
 """
 
+# The two rankings are materialized: joined inline, DuckDB 2.0 takes the second
+# ranking for the first and reports every id as common.
+RANKINGS = f"""
+exact10 as materialized ({top('cos', 10)}),
+coarse10 as materialized ({top('qcos', 10)})
+"""
+
 SIGNATURES = f"""
 words as materialized (
   select doc_id as chunk_id, source, {word_hash('w')} as h
@@ -454,13 +461,13 @@ texts as materialized (
     "lsh_candidates_verified": build(
         [
             SIGNATURES, LSH,
-            """similar as materialized (
+            """alike as materialized (
   select p.first_id, p.chunk_id, round(count(*) filter (a.value = b.value) / 128::double, 6) as similarity
   from (select distinct first_id, chunk_id from linked) p
   join sig a on a.chunk_id = p.chunk_id join sig b on b.chunk_id = p.first_id and a.i = b.i group by all)"""
         ],
         "select band, members, first_id, chunk_id, similarity from linked "
-        "join similar using (first_id, chunk_id) where similarity >= 0.85",
+        "join alike using (first_id, chunk_id) where similarity >= 0.85",
     ),
     "dedup_keep_first": build(
         [SIGNATURES, keep_first("source")],
@@ -522,8 +529,8 @@ texts as materialized (
 select doc_id as chunk_id, source, length(text) as n, len(embedding) as dim
 from documents join embeddings on doc_id = vec_id""",
     "intersect_topk": build(
-        [VEC, BOUNDS, QUANTIZED],
-        f"select query_id, chunk_id from ({top('cos', 10)}) join rescored using (query_id, chunk_id)",
+        [VEC, BOUNDS, QUANTIZED, RANKINGS],
+        "select query_id, chunk_id from exact10 join rescored using (query_id, chunk_id)",
     ),
     "union_candidates": build([HYBRID, channels(50)], "select * from cand"),
     "gather_chunks": """
@@ -545,16 +552,16 @@ union all select page_id, html from pages""",
     ),
     "exact_ground_truth": build([VEC], f"select query_id, chunk_id from ({top('cos', 10)})"),
     "recall_at_k": build(
-        [VEC, BOUNDS, QUANTIZED],
+        [VEC, BOUNDS, QUANTIZED, RANKINGS],
         "select c.chunk_id as query_id, count(b.chunk_id) / 10::double as recall from corpus c "
-        f"left join ({top('cos', 10)}) a on a.query_id = c.chunk_id "
-        f"left join ({top('qcos', 10)}) b on b.query_id = a.query_id and b.chunk_id = a.chunk_id group by 1",
+        "left join exact10 a on a.query_id = c.chunk_id "
+        "left join coarse10 b on b.query_id = a.query_id and b.chunk_id = a.chunk_id group by 1",
     ),
     "quantization_benchmark": build(
-        [VEC, BOUNDS, QUANTIZED],
+        [VEC, BOUNDS, QUANTIZED, RANKINGS],
         "select round(avg(r), 6) as mean_recall from ("
         "select c.chunk_id, count(b.chunk_id) / 10::double as r from corpus c "
-        f"left join ({top('cos', 10)}) a on a.query_id = c.chunk_id "
+        "left join exact10 a on a.query_id = c.chunk_id "
         "left join rescored b on b.query_id = a.query_id and b.chunk_id = a.chunk_id group by 1)",
     ),
     "ingest_metrics": build(

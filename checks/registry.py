@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
+from corpusloom.functions.rows import explode_items
 from corpusloom.functions.vectors import cosine, score_round
 from corpusloom.operators import ann, chunking, dedup, embedding, evaluate, joins, metrics
 from corpusloom.operators import quantize, search, sparse, telemetry
@@ -76,8 +77,8 @@ def readings(spark, folder):
 
 def search_parts(spark, folder):
     chunks, queries = docs(spark, folder), asks(spark, folder)
-    counts, stats = sparse.term_counts(chunks), sparse.corpus_stats(chunks)
-    return chunks, queries, counts, stats
+    counts = sparse.term_counts(chunks)
+    return chunks, queries, counts, sparse.corpus_stats(chunks)
 
 
 # ------------------------------------------------------------ scans and sources
@@ -132,17 +133,15 @@ def flatten_payload(spark, folder):
 
 @query
 def tokenize(spark, folder):
-    tokens = docs(spark, folder).select(
-        "chunk_id", F.explode(tx.tokenize(F.col("text"))).alias("term")
-    )
+    texts = docs(spark, folder).repartition("chunk_id")
+    tokens = explode_items(texts, [], tx.tokenize(F.col("text")), "term")
     return tokens.groupBy("term").agg(F.count("*").alias("n"))
 
 
 @query
 def whitespace_words(spark, folder):
-    words = docs(spark, folder).select(
-        F.explode(tx.whitespace_words(F.col("text"))).alias("word")
-    )
+    texts = docs(spark, folder).repartition("chunk_id")
+    words = explode_items(texts, [], tx.whitespace_words(F.col("text")), "word")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -342,7 +341,7 @@ def bm25_weights(spark, folder):
 @query
 def idf_table(spark, folder):
     _, _, counts, stats = search_parts(spark, folder)
-    return sparse.idf_table(counts, stats).select("term", "df", F.round("idf", 6).alias("idf"))
+    return sparse.idf_table(sparse.vocabulary(counts), stats).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
@@ -458,11 +457,11 @@ def sparse_topk(spark, folder):
     chunks, queries, counts, _ = search_parts(spark, folder)
     ensure_checkpoint_dir(spark)
     near = sparse.term_neighbours(chunks).checkpoint()
-    return search.sparse_topk(
-        sparse.expand_terms(sparse.term_counts(queries, "query_id", "query"), near, "query_id"),
-        sparse.expand_terms(counts, near),
-        10,
+    wanted = sparse.expand_terms(
+        sparse.term_counts(queries, "query_id", "query"), near, "query_id"
     )
+    asked = wanted.select("term").distinct()
+    return search.sparse_topk(wanted, sparse.expand_terms(counts, near, only=asked), 10)
 
 
 @query
@@ -509,12 +508,12 @@ def rerank(spark, folder):
     """BM25 hits, 50 a query, reordered by coverage of the query's terms."""
     chunks, queries, counts, stats = search_parts(spark, folder)
     hits = retrieval.bm25_search(queries, chunks, 50)
-    terms = search.coverage_terms(queries, sparse.idf_table(counts, stats), stats)
+    terms = search.coverage_terms(queries, sparse.idf_table(sparse.vocabulary(counts), stats), stats)
     candidates = search.attach_payload(
         hits, chunks, ["text"], small=search.few_rows(queries, 50)
     ).join(terms, "query_id")
     return search.rerank(
-        candidates, search.coverage_score(F.col("terms"), F.col("text")), 10
+        candidates.repartition("query_id", "chunk_id"), search.coverage_score(F.col("terms"), F.col("text")), 10
     ).select("query_id", "chunk_id", "score", "rerank_score", "fused_rank", "rank")
 
 

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from corpusloom.functions.rows import explode_items
 from corpusloom.functions.text import tokenize
 from corpusloom.functions.vectors import cosine, score_round
 from corpusloom.operators.joins import fits_broadcast, lookup_join
-from corpusloom.settings import BROADCAST_BYTES, RRF_K, SCORE_DIGITS
+from corpusloom.settings import BROADCAST_BYTES, BROADCAST_ROWS, RRF_K, SCORE_DIGITS
 
 GRID_ROWS = 4096            # vectors per block when the queries are too many to broadcast
 
@@ -87,8 +88,8 @@ def match_text(query_texts: DataFrame, postings: DataFrame, id_col: str = "chunk
     terms = query_texts.select(
         "query_id", F.array_distinct(tokenize(F.col("query"))).alias("tokens")
     )
-    wanted = terms.select(
-        "query_id", F.size("tokens").alias("wanted"), F.explode("tokens").alias("term")
+    wanted = explode_items(
+        terms, ["query_id", F.size("tokens").alias("wanted")], F.col("tokens"), "term"
     )
     return (
         lookup_join(postings.select(id_col, "term"), wanted, ["term"], id_col)
@@ -185,9 +186,11 @@ def dense_topk(
     Zero vectors score nothing.
     """
     query_fields = ["query_id", query_vec_col] + ([probes_col] if probes_col else [])
-    queries = queries.select(*query_fields).filter(F.size(query_vec_col) > 0)
+    queries = queries.select(*query_fields)
     fields = [id_col, vec_col] + ([cell_col] if cell_col else [])
-    corpus = corpus.select(*fields).filter(F.size(vec_col) > 0)
+    # Empty vectors are left out inside the tasks: a filter on a vector would be
+    # moved below the repartition and compute the vectors a second time there.
+    corpus = corpus.select(*fields)
     limits = None if bounds is None else tuple(bounds.select("lo", "hi").first())
     schema = T.StructType(
         [
@@ -196,13 +199,16 @@ def dense_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    sizes = queries.agg(
-        F.count("*").alias("n"), F.coalesce(F.max(F.size(query_vec_col)), F.lit(1)).alias("dim")
-    ).first()
+    n_queries = queries.count()
+    first = queries.select(F.size(query_vec_col).alias("dim")).first()
     # the matrix, and the running best k per query kept by each task
-    needed = sizes["n"] * (8 * sizes["dim"] + 48 * k)
+    needed = n_queries * (8 * max(1, first["dim"] if first else 1) + 48 * k)
     best, unit = _block_scorer(k, digits), _unit_rows()
 
+    def filled(part, column):
+        lengths = part[column].map(lambda v: 0 if v is None else len(v))
+        return part[lengths > 0].reset_index(drop=True)
+
     def matrix_of(column):
         import numpy as np
 
@@ -218,7 +224,7 @@ def dense_topk(
         return np.array([np.isin(cells, np.asarray(p)) for p in probes])
 
     if needed <= max_bytes:
-        block = queries.toPandas()
+        block = filled(queries.toPandas(), query_vec_col)
         if len(block) == 0:
             return _empty(corpus, schema)
         matrix, usable = unit(block[query_vec_col])
@@ -235,6 +241,7 @@ def dense_topk(
             query_ids, query_matrix, probes = shared.value
             running = None
             for batch in batches:
+                batch = filled(batch, vec_col)
                 if len(batch) == 0 or len(query_ids) == 0:
                     continue
                 allowed = probe_mask(probes, batch[cell_col].to_numpy()) if probes else None
@@ -249,7 +256,7 @@ def dense_topk(
 
         partial = corpus.mapInPandas(score, schema)
     else:
-        query_blocks = -(-sizes["n"] // GRID_ROWS)
+        query_blocks = -(-n_queries // GRID_ROWS)
         corpus_blocks = max(1, -(-corpus.count() // GRID_ROWS))
         left = queries.withColumn(
             "_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("long")
@@ -262,6 +269,8 @@ def dense_topk(
             import pandas as pd
 
             running = None
+            query_part = filled(query_part, query_vec_col)
+            corpus_part = filled(corpus_part, vec_col)
             if len(query_part) and len(corpus_part):
                 query_matrix, usable = unit(query_part[query_vec_col])
                 query_part = query_part[usable].reset_index(drop=True)
@@ -390,13 +399,13 @@ def hits_to_json(hits: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def coverage_terms(queries: DataFrame, idf: DataFrame, n_chunks: DataFrame) -> DataFrame:
-    """``query_id, terms``: distinct query terms with their IDF, one row a query.
+    """``query_id, terms``: map of distinct query terms to IDF, one row a query.
 
     A term the corpus does not have counts with the IDF of frequency zero.
     """
     total = n_chunks.select("n_chunks").scalar()
-    terms = queries.select(
-        "query_id", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")
+    terms = explode_items(
+        queries, ["query_id"], F.array_distinct(tokenize(F.col("query"))), "term"
     )
     vocabulary = terms.select("term").distinct()
     known = (
@@ -409,19 +418,20 @@ def coverage_terms(queries: DataFrame, idf: DataFrame, n_chunks: DataFrame) -> D
         "query_id", "term", F.coalesce("idf", unseen).alias("idf")
     )
     return weighted.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("terms")
+        F.map_from_entries(F.collect_list(F.struct("term", "idf"))).alias("terms")
     )
 
 
 def coverage_score(terms: Column, text: Column) -> Column:
-    """Share of the query's IDF mass whose terms occur in the text."""
-    words = F.array_distinct(tokenize(text))
-
-    def mass(items: Column) -> Column:
-        return F.aggregate(items, F.lit(0.0), lambda acc, t: acc + t["idf"])
+    """Share of the query's IDF mass whose terms occur in the text.
 
-    found = F.filter(terms, lambda t: F.array_contains(words, t["term"]))
-    return F.when(mass(terms) > 0, mass(found) / mass(terms)).otherwise(F.lit(0.0))
+    The text is tokenized once per row, outside of any lambda: an expression
+    inside a lambda is evaluated for every element.
+    """
+    found = F.array_intersect(tokenize(text), F.map_keys(terms))
+    mass = F.aggregate(F.map_values(terms), F.lit(0.0), lambda acc, x: acc + x)
+    covered = F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(terms[t], F.lit(0.0)))
+    return F.when(mass > 0, covered / mass).otherwise(F.lit(0.0))
 
 
 def rerank(

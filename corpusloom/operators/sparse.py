@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.functions.rows import explode_items, posexplode_items
 from corpusloom.functions.text import tokenize
 from corpusloom.operators.joins import lookup_join
-from corpusloom.settings import BM25_B, BM25_K1
+from corpusloom.settings import BM25_B, BM25_K1, ensure_checkpoint_dir
 
 SPAN = 4
-NEIGHBOURS = 5
+NEIGHBOURS = 3
 MIN_PAIRS = 3
 EXPANSION_SCALE = 0.5
 
@@ -33,20 +34,35 @@ def term_counts(
     if colocate:
         texts = texts.repartition(id_col)
     tokens = texts.select(id_col, tokenize(F.col(text_col)).alias("tokens"))
-    return (
-        tokens.select(id_col, F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
-        .groupBy(id_col, "dl", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    terms = explode_items(tokens, [id_col, F.size("tokens").alias("dl")], F.col("tokens"), "term")
+    return terms.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf"))
 
 
-def corpus_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row: number of chunks and their mean token count."""
-    return df.select(F.size(tokenize(F.col(text_col))).alias("dl")).agg(
+def corpus_stats(
+    df: DataFrame, id_col: str = "chunk_id", text_col: str = "text", colocate: bool = True
+) -> DataFrame:
+    """One row ``n_chunks, avg_len``: number of chunks and mean token count.
+
+    The texts are placed as in :func:`term_counts`, so a plan that uses both
+    moves them once.
+    """
+    texts = df.select(id_col, text_col)
+    if colocate:
+        texts = texts.repartition(id_col)
+    return texts.select(F.size(tokenize(F.col(text_col))).alias("dl")).agg(
         F.count("*").alias("n_chunks"), F.avg("dl").alias("avg_len")
     )
 
 
+def vocabulary(counts: DataFrame) -> DataFrame:
+    """``term, df``: number of chunks that have the term.
+
+    ``counts`` holds each chunk and term once, so rows are counted map-side and
+    only the vocabulary is shuffled.
+    """
+    return counts.groupBy("term").agg(F.count("*").alias("df"))
+
+
 def saturated_tf(tf: Column, dl: Column, avg_len: Column, k1: float, b: float) -> Column:
     return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avg_len))
 
@@ -61,89 +77,97 @@ def bm25_weights(
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """``chunk_id, term, weight``: term part of BM25, without IDF."""
-    stats = corpus_stats(df, text_col) if stats is None else stats
+    stats = corpus_stats(df, id_col, text_col) if stats is None else stats
     counts = term_counts(df, id_col, text_col) if counts is None else counts
     avg_len = stats.select("avg_len").scalar()
     weight = saturated_tf(F.col("tf"), F.col("dl"), avg_len, k1, b)
     return counts.select(id_col, "term", weight.alias("weight"))
 
 
-def idf_table(
-    postings: DataFrame, n_chunks: DataFrame, term_col: str = "term"
-) -> DataFrame:
-    """``term, df, idf`` from postings holding each chunk and term once.
-
-    ``n_chunks`` is a one-row table; only the vocabulary is shuffled.
-    """
+def idf_table(terms: DataFrame, n_chunks: DataFrame) -> DataFrame:
+    """``term, df, idf`` from :func:`vocabulary` and the one-row chunk count."""
     total = n_chunks.select("n_chunks").scalar()
-    return postings.groupBy(term_col).agg(F.count("*").alias("df")).select(
-        F.col(term_col),
+    return terms.select(
+        "term",
         "df",
         F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"),
     )
 
 
 def neighbour_pairs(
-    df: DataFrame, text_col: str = "text", span: int = SPAN
+    df: DataFrame,
+    id_col: str = "chunk_id",
+    text_col: str = "text",
+    span: int = SPAN,
+    colocate: bool = True,
 ) -> DataFrame:
-    """``a, b, n``: how often two different terms stand within ``span`` tokens.
+    """``a, b, n`` with a < b: how often two terms stand within ``span`` tokens.
 
-    Each token meets only the next ``span`` tokens, so the work is linear in the
-    text and a long text does not produce all pairs of its terms.
+    Each token meets only the next ``span`` tokens of its own text, so the work
+    is linear in the text and a long text does not give all pairs of its terms.
     """
-    tokens = df.select(tokenize(F.col(text_col)).alias("t")).filter(F.size("t") > 1)
-    shifted = [
-        F.when(
-            F.size("t") > step,
-            F.zip_with(
-                F.slice("t", F.lit(1), F.size("t") - step),
-                F.slice("t", F.lit(1 + step), F.size("t") - step),
-                lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")),
-            ),
-        ).otherwise(F.array().cast("array<struct<a:string,b:string>>"))
-        for step in range(1, span + 1)
-    ]
-    one_way = (
-        tokens.select(F.explode(F.concat(*shifted)).alias("p"))
-        .select("p.a", "p.b")
-        .filter("a <> b")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("n"))
+    texts = df.select(id_col, text_col)
+    if colocate:
+        texts = texts.repartition(id_col)
+    tokens = posexplode_items(texts, [id_col], tokenize(F.col(text_col)), "pos", "term")
+    order = Window.partitionBy(id_col).orderBy("pos")
+    following = [F.lead("term", step).over(order).alias(f"t{step}") for step in range(1, span + 1)]
+    met = tokens.select("term", *following).select(
+        "term", F.explode(F.array(*[f"t{step}" for step in range(1, span + 1)])).alias("other")
     )
-    return one_way.unionByName(
-        one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
+    return (
+        met.filter("other is not null and other <> term")
+        .groupBy(F.least("term", "other").alias("a"), F.greatest("term", "other").alias("b"))
+        .agg(F.count("*").alias("n"))
     )
 
 
 def term_neighbours(
     df: DataFrame,
+    id_col: str = "chunk_id",
     text_col: str = "text",
     span: int = SPAN,
     top: int = NEIGHBOURS,
     min_pairs: int = MIN_PAIRS,
+    colocate: bool = True,
 ) -> DataFrame:
     """``term, neighbour, strength``: the ``top`` most strongly associated terms.
 
     Strength is normalized pointwise mutual information over windows of
-    neighbouring tokens, in (0, 1]; only positive associations stay.
+    neighbouring tokens, in (0, 1]; only positive associations stay.  The pair
+    counts are read several times and are therefore checkpointed.
     """
-    pairs = neighbour_pairs(df, text_col, span)
-    margins = pairs.groupBy("a").agg(F.sum("n").alias("m"))
-    total = margins.agg(F.sum("m").alias("s")).scalar()
-    left = margins.select("a", F.col("m").alias("ma"))
-    right = margins.select(F.col("a").alias("b"), F.col("m").alias("mb"))
-    kept = pairs.filter(F.col("n") >= min_pairs)
+    ensure_checkpoint_dir(df.sparkSession)
+    pairs = neighbour_pairs(df, id_col, text_col, span, colocate).checkpoint()
+    margins = (
+        pairs.select("n", F.explode(F.array("a", "b")).alias("term"))
+        .groupBy("term")
+        .agg(F.sum("n").alias("m"))
+    )
+    total = (pairs.agg(F.sum("n").alias("s")).select((F.col("s") * 2).alias("s"))).scalar()
     information = F.log(
         F.col("n").cast("double") * total / (F.col("ma").cast("double") * F.col("mb"))
     )
     strength = F.round(information / -F.log(F.col("n") / total), 6)
+    linked = (
+        pairs.filter(F.col("n") >= min_pairs)
+        .join(margins.select(F.col("term").alias("a"), F.col("m").alias("ma")), "a")
+        .join(margins.select(F.col("term").alias("b"), F.col("m").alias("mb")), "b")
+        .select("a", "b", strength.alias("strength"))
+        .filter("strength > 0")
+    )
+    both_ways = linked.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("term"), F.col("b").alias("neighbour")),
+                F.struct(F.col("b").alias("term"), F.col("a").alias("neighbour")),
+            )
+        ).alias("p"),
+        "strength",
+    ).select("p.term", "p.neighbour", "strength")
     order = Window.partitionBy("term").orderBy(F.desc("strength"), "neighbour")
     return (
-        kept.join(left, "a")
-        .join(right, "b")
-        .select(F.col("a").alias("term"), F.col("b").alias("neighbour"), strength.alias("strength"))
-        .filter("strength > 0")
-        .withColumn("rn", F.row_number().over(order))
+        both_ways.withColumn("rn", F.row_number().over(order))
         .filter(F.col("rn") <= top)
         .drop("rn")
     )
@@ -154,6 +178,7 @@ def expand_terms(
     neighbours: DataFrame,
     id_col: str = "chunk_id",
     scale: float = EXPANSION_SCALE,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """``chunk_id, term, weight``: own terms plus weaker related terms.
 
@@ -162,9 +187,21 @@ def expand_terms(
     Any table ``term, neighbour, strength`` may take the place of
     :func:`term_neighbours`, and any ``id, term, weight`` table the place of
     this function's result.
+
+    ``only`` (``term``, distinct) names the terms that will be looked at, such
+    as those of the queries; weights of other terms are not computed.
     """
-    own = counts.select(id_col, "term", F.log1p(F.col("tf").cast("double")).alias("weight"))
-    related = lookup_join(own, neighbours, ["term"], salt_col=id_col).select(
+    weight = F.log1p(F.col("tf").cast("double")).alias("weight")
+    if only is None:
+        own, near = counts.select(id_col, "term", weight), neighbours
+    else:
+        own = lookup_join(counts, only, ["term"], salt_col=id_col).select(id_col, "term", weight)
+        near = lookup_join(
+            neighbours, only.withColumnRenamed("term", "neighbour"), ["neighbour"], salt_col="term"
+        )
+    related = lookup_join(
+        counts.select(id_col, "term", weight), near, ["term"], salt_col=id_col, bound=neighbours
+    ).select(
         id_col,
         F.col("neighbour").alias("term"),
         (F.col("weight") * F.col("strength") * scale).alias("weight"),

@@ -30,6 +30,7 @@ from corpusloom.operators.sparse import (
     idf_table,
     term_counts,
     term_neighbours,
+    vocabulary,
 )
 from corpusloom.settings import FUSED_FACTOR, LIMIT, PREFETCH_FACTOR, ensure_checkpoint_dir
 from corpusloom.sources.collection import Collection
@@ -41,12 +42,13 @@ COVERAGE = "coverage"
 def bm25_search(queries: DataFrame, chunks: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``query_id, chunk_id, score, rank`` by BM25 alone."""
     counts = term_counts(chunks)
+    terms = vocabulary(counts)
     stats = corpus_stats(chunks)
     weights = bm25_weights(chunks, stats=stats, counts=counts)
     wanted = bm25_weights(
         queries, "query_id", "query", stats=stats, counts=term_counts(queries, "query_id", "query")
     )
-    return sparse_topk(wanted, weights, limit, idf=idf_table(counts, stats))
+    return sparse_topk(wanted, weights, limit, idf=idf_table(terms, stats))
 
 
 def channel_hits(
@@ -64,25 +66,33 @@ def channel_hits(
     ``stats`` and ``neighbours`` are taken from tables when given.
     """
     counts = term_counts(chunks) if counts is None else counts
+    terms = vocabulary(counts)
     stats = corpus_stats(chunks) if stats is None else stats
     if neighbours is None:
         ensure_checkpoint_dir(chunks.sparkSession)
         # used for documents and for queries: computed once
         neighbours = term_neighbours(chunks).checkpoint()
     query_counts = term_counts(queries, "query_id", "query")
-    vectors = chunks if "dense" in chunks.columns else embed_documents(chunks, embedder)
+    if "dense" in chunks.columns:
+        vectors = chunks
+    else:
+        vectors = embed_documents(
+            chunks.select("chunk_id", "text").repartition("chunk_id"), embedder
+        )
+    wide_queries = expand_terms(query_counts, neighbours, "query_id")
+    asked = wide_queries.select("term").distinct()
     return {
         "dense": dense_topk(embed_queries(queries, embedder), vectors, per_channel),
         "expanded": sparse_topk(
-            expand_terms(query_counts, neighbours, "query_id"),
-            expand_terms(counts, neighbours),
+            wide_queries,
+            expand_terms(counts, neighbours, only=asked),
             per_channel,
         ),
         "bm25": sparse_topk(
             bm25_weights(queries, "query_id", "query", stats=stats, counts=query_counts),
             bm25_weights(chunks, stats=stats, counts=counts),
             per_channel,
-            idf=idf_table(counts, stats),
+            idf=idf_table(terms, stats),
         ),
     }
 
@@ -108,6 +118,7 @@ def hybrid_search(
     chunk_id, score, [rerank_score,]`` and the chunk's other columns.
     """
     counts = term_counts(chunks) if counts is None else counts
+    terms = vocabulary(counts)
     stats = corpus_stats(chunks) if stats is None else stats
     hits = channel_hits(
         queries, chunks, prefetch_factor * limit, embedder, neighbours, counts, stats
@@ -121,15 +132,15 @@ def hybrid_search(
         shown = ["query_id", "rank", "chunk_id", "score"]
     else:
         if scorer == COVERAGE:
-            terms = coverage_terms(queries, idf_table(counts, stats), stats)
-            candidates = candidates.join(terms, "query_id", "left")
+            wanted = coverage_terms(queries, idf_table(terms, stats), stats)
+            candidates = candidates.join(wanted, "query_id", "left")
             scorer = coverage_score(
-                F.coalesce("terms", F.array().cast("array<struct<term:string,idf:double>>")),
-                F.col("text"),
+                F.coalesce("terms", F.create_map().cast("map<string,double>")), F.col("text")
             )
         else:
             candidates = candidates.join(queries.select("query_id", "query"), "query_id")
-        best = rerank(candidates, scorer, limit)
+        # few rows, dear scores: spread them evenly whatever files they came from
+        best = rerank(candidates.repartition("query_id", "chunk_id"), scorer, limit)
         shown = ["query_id", "rank", "chunk_id", "score", "rerank_score"]
     if threshold is not None:
         best = min_score(best, threshold)
