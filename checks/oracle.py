@@ -278,14 +278,16 @@ TAG_EVENT = rf"(?i)</?(?:{BLOCK_TAGS})(?:\s[^>]*)?>|</(?:{SECTIONS})\s*>"
 
 
 def plain(column: str) -> str:
-    text = f"regexp_replace({column}, '(?s)<[^>]*>', ' ', 'g')"
+    text = "p"
     for entity, character in (
         ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
-        ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"),
+        ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"),
         ("&mdash;", "—"), ("&ndash;", "–"), ("&amp;", "&"),
     ):
         text = f"replace({text}, '{entity}', '{character}')"
-    return f"trim(regexp_replace({text}, '[ \\t\\r\\n\\f ]+', ' ', 'g'))"
+    stripped = f"regexp_replace({text}, '^{SPACES}+|{SPACES}+$', '', 'g')"
+    pieces = f"list_transform(string_split_regex({column}, '(?s)<[^>]*>'), lambda p: {stripped})"
+    return f"array_to_string(list_filter({pieces}, lambda p: p <> ''), ' ')"
 
 
 def leaf(html: str) -> str:

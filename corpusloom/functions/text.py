@@ -63,6 +63,11 @@ def normalize_nfc(df: DataFrame, text_col: str = "text") -> DataFrame:
     return plain.unionByName(other)
 
 
+def strip(text: Column) -> Column:
+    """White space, as ``str.strip`` sees it, off both ends."""
+    return F.regexp_replace(text, rf"(?U)^{SPACE_CLASS}+|{SPACE_CLASS}+\z", "")
+
+
 def not_blank(text: Column) -> Column:
     return text.rlike(r"(?U)[^\s\x1c-\x1f]")
 

@@ -151,6 +151,7 @@ def search_collection(collection: Collection, queries: DataFrame, **options) ->
     """:func:`hybrid_search` over a stored collection: its postings and vectors
     are read, not computed again."""
     chunks = collection.chunks().drop("version", "dl")
+    options.setdefault("neighbours", collection.neighbours())
     return hybrid_search(
         queries, chunks, counts=collection.postings(), stats=collection.stats(), **options
     )
