@@ -67,12 +67,11 @@ bm25_dot as materialized (
 NEIGHBOURS = """
 tokp as materialized (
   select chunk_id, unnest(tokens) as term, generate_subscripts(tokens, 1) as pos from tok),
-near4 as materialized (
-  select term, lead(term, 1) over w as t1, lead(term, 2) over w as t2,
-         lead(term, 3) over w as t3, lead(term, 4) over w as t4
+following as materialized (
+  select term, lead(term, 1) over w as t1, lead(term, 2) over w as t2
   from tokp window w as (partition by chunk_id order by pos)),
 both_ways as materialized (
-  select term as a, o as b from (select term, unnest([t1, t2, t3, t4]) as o from near4)
+  select term as a, o as b from (select term, unnest([t1, t2]) as o from following)
   where o is not null and o <> term),
 pairs as materialized (
   select a, b, count(*) as n from (
@@ -84,7 +83,7 @@ strengths as materialized (
          round(ln(n::double * s / (l.m::double * r.m)) / -ln(n::double / s), 6) as strength
   from pairs p join margins l on l.a = p.a join margins r on r.a = p.b, total where n >= 3),
 near as materialized (
-  select term, neighbour, strength from strengths where strength > 0
+  select term, neighbour, strength from strengths where strength >= 0.3
   qualify row_number() over (partition by term order by strength desc, neighbour) <= 3)
 """
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.functions.rows import explode_items
+from corpusloom.functions.rows import explode_items, posexplode_items
 from corpusloom.functions.vectors import cosine, score_round
 from corpusloom.operators import ann, chunking, dedup, embedding, evaluate, joins, metrics
 from corpusloom.operators import quantize, search, sparse, telemetry
@@ -275,7 +275,7 @@ def process_markup(spark, folder):
 @query
 def minhash_signature(spark, folder):
     signed = dedup.minhash_signature(docs(spark, folder).repartition("chunk_id"))
-    return signed.select("chunk_id", F.posexplode("signature").alias("i", "value"))
+    return posexplode_items(signed, ["chunk_id"], F.col("signature"), "i", "value")
 
 
 @query
@@ -318,7 +318,7 @@ def dedup_report(spark, folder):
 @query
 def embed_documents(spark, folder):
     made = embedding.embed_documents(docs(spark, folder).repartition("chunk_id"))
-    return made.select("chunk_id", F.posexplode("dense").alias("i", "x")).select(
+    return posexplode_items(made, ["chunk_id"], F.col("dense"), "i", "x").select(
         "chunk_id", "i", F.round(F.col("x").cast("double"), 5).alias("x")
     )
 
@@ -326,7 +326,7 @@ def embed_documents(spark, folder):
 @query
 def embed_queries(spark, folder):
     made = embedding.embed_queries(asks(spark, folder))
-    return made.select("query_id", F.posexplode("vector").alias("i", "x")).select(
+    return posexplode_items(made, ["query_id"], F.col("vector"), "i", "x").select(
         "query_id", "i", F.round(F.col("x").cast("double"), 5).alias("x")
     )
 
@@ -381,7 +381,7 @@ def int8_fit(spark, folder):
 def int8_encode(spark, folder):
     corpus = vectors(spark, folder)
     codes = quantize.int8_quantize(corpus, quantize.int8_fit(corpus))
-    return codes.select("chunk_id", F.posexplode("codes").alias("i", "code")).select(
+    return posexplode_items(codes, ["chunk_id"], F.col("codes"), "i", "code").select(
         "chunk_id", "i", F.col("code").cast("int").alias("code")
     )
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.settings import SCORE_DIGITS
 
@@ -34,6 +36,35 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(length > 0, dot(a, b) / length)
 
 
+def cosine_pairs(a: Column, b: Column) -> Column:
+    """As :func:`cosine`, a batch of rows at a time.
+
+    Array lambdas are interpreted element by element; over many rows the matrix
+    form is an order of magnitude faster.
+    """
+
+    @F.pandas_udf(T.DoubleType())
+    def batch(left: pd.Series, right: pd.Series) -> pd.Series:
+        import numpy as np
+
+        out = np.full(len(left), None, dtype=object)
+        full = [
+            i for i, (x, y) in enumerate(zip(left, right))
+            if x is not None and y is not None and len(x) and len(x) == len(y)
+        ]
+        if full:
+            x = np.array([np.asarray(left.iloc[i], dtype=np.float64) for i in full])
+            y = np.array([np.asarray(right.iloc[i], dtype=np.float64) for i in full])
+            length = np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))
+            scores = (x * y).sum(axis=1) / np.where(length > 0, length, 1.0)
+            for i, score, usable in zip(full, scores, length > 0):
+                if usable:
+                    out[i] = float(score)
+        return pd.Series(out)
+
+    return batch(a, b)
+
+
 def int8_encode(vector: Column, lo: Column, hi: Column) -> Column:
     """One byte per component over ``[lo, hi]``; a flat range encodes as -128."""
     width = hi - lo

@@ -15,18 +15,40 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions.rows import explode_items
 from corpusloom.functions.text import tokenize
-from corpusloom.functions.vectors import cosine, score_round
+from corpusloom.functions.vectors import cosine_pairs, score_round
 from corpusloom.operators.joins import fits_broadcast, lookup_join
-from corpusloom.settings import BROADCAST_BYTES, BROADCAST_ROWS, RRF_K, SCORE_DIGITS
-
+from corpusloom.settings import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    EMBED_DIM,
+    RRF_K,
+    SCORE_DIGITS,
+)
+
+GROUP_LIMIT = 1000          # default of spark.sql.optimizer.windowGroupLimitThreshold
+RANK_PARTS = 64
 GRID_ROWS = 4096            # vectors per block when the queries are too many to broadcast
 
 
 def rank_hits(
     scored: DataFrame, k: int, id_col: str = "chunk_id", query_col: str = "query_id"
 ) -> DataFrame:
-    """Best ``k`` rows per query; ties go to the smaller id."""
-    order = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
+    """Best ``k`` rows per query; ties go to the smaller id.
+
+    Up to ``GROUP_LIMIT`` Spark keeps k rows a query in each task before the
+    shuffle.  For larger k the rows of a query are first ranked in salted parts,
+    so that one query's matches never meet in one task unreduced.
+    """
+    best_first = [F.desc("score"), F.col(id_col)]
+    if k > GROUP_LIMIT:
+        part = Window.partitionBy(query_col, "_part").orderBy(*best_first)
+        scored = (
+            scored.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(RANK_PARTS)))
+            .withColumn("_rank", F.row_number().over(part))
+            .filter(F.col("_rank") <= k)
+            .drop("_part", "_rank")
+        )
+    order = Window.partitionBy(query_col).orderBy(*best_first)
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -323,11 +345,14 @@ def exact_rescore(
         paired = vectors.join(F.broadcast(wanted), id_col)
     else:
         paired = vectors.join(wanted, id_col)
+    vectors_of = queries.select("query_id", query_vec_col)
+    if few_rows(queries, 1 + EMBED_DIM):
+        vectors_of = F.broadcast(vectors_of)
     scored = (
-        paired.join(queries.select("query_id", query_vec_col), "query_id")
+        paired.join(vectors_of, "query_id")
         .select(
             "query_id", id_col,
-            score_round(cosine(F.col(query_vec_col), F.col(vec_col))).alias("score"),
+            score_round(cosine_pairs(F.col(query_vec_col), F.col(vec_col))).alias("score"),
         )
         .filter(F.col("score").isNotNull())
     )

@@ -16,8 +16,9 @@ from corpusloom.functions.text import tokenize
 from corpusloom.operators.joins import lookup_join
 from corpusloom.settings import BM25_B, BM25_K1, ensure_checkpoint_dir
 
-SPAN = 4
+SPAN = 2
 NEIGHBOURS = 3
+MIN_STRENGTH = 0.3
 MIN_PAIRS = 3
 EXPANSION_SCALE = 0.5
 
@@ -129,13 +130,15 @@ def term_neighbours(
     span: int = SPAN,
     top: int = NEIGHBOURS,
     min_pairs: int = MIN_PAIRS,
+    min_strength: float = MIN_STRENGTH,
     colocate: bool = True,
 ) -> DataFrame:
     """``term, neighbour, strength``: the ``top`` most strongly associated terms.
 
     Strength is normalized pointwise mutual information over windows of
-    neighbouring tokens, in (0, 1]; only positive associations stay.  The pair
-    counts are read several times and are therefore checkpointed.
+    neighbouring tokens, at most 1; weak associations, which the most frequent
+    terms have with almost anything, are left out.  The pair counts are read
+    several times and are therefore checkpointed.
     """
     ensure_checkpoint_dir(df.sparkSession)
     pairs = neighbour_pairs(df, id_col, text_col, span, colocate).checkpoint()
@@ -143,18 +146,19 @@ def term_neighbours(
         pairs.select("n", F.explode(F.array("a", "b")).alias("term"))
         .groupBy("term")
         .agg(F.sum("n").alias("m"))
+        .checkpoint()
     )
     total = (pairs.agg(F.sum("n").alias("s")).select((F.col("s") * 2).alias("s"))).scalar()
     information = F.log(
         F.col("n").cast("double") * total / (F.col("ma").cast("double") * F.col("mb"))
     )
     strength = F.round(information / -F.log(F.col("n") / total), 6)
-    linked = (
-        pairs.filter(F.col("n") >= min_pairs)
-        .join(margins.select(F.col("term").alias("a"), F.col("m").alias("ma")), "a")
-        .join(margins.select(F.col("term").alias("b"), F.col("m").alias("mb")), "b")
-        .select("a", "b", strength.alias("strength"))
-        .filter("strength > 0")
+    frequent = pairs.filter(F.col("n") >= min_pairs)
+    left = margins.select(F.col("term").alias("a"), F.col("m").alias("ma"))
+    right = margins.select(F.col("term").alias("b"), F.col("m").alias("mb"))
+    linked = lookup_join(lookup_join(frequent, left, ["a"], "b"), right, ["b"], "a", bound=left)
+    linked = linked.select("a", "b", strength.alias("strength")).filter(
+        F.col("strength") >= min_strength
     )
     both_ways = linked.select(
         F.explode(
@@ -192,24 +196,26 @@ def expand_terms(
     as those of the queries; weights of other terms are not computed.
     """
     weight = F.log1p(F.col("tf").cast("double")).alias("weight")
+    weighted = counts.select(id_col, "term", weight)
+    factors = neighbours.select(
+        "term", F.col("neighbour").alias("target"), (F.col("strength") * scale).alias("factor")
+    )
     if only is None:
-        own, near = counts.select(id_col, "term", weight), neighbours
+        brought = lookup_join(weighted, factors, ["term"], salt_col=id_col)
+        expanded = weighted.select(
+            id_col, F.col("term").alias("target"), "weight", F.lit(1.0).alias("factor")
+        ).unionByName(brought.select(id_col, "target", "weight", "factor"))
     else:
-        own = lookup_join(counts, only, ["term"], salt_col=id_col).select(id_col, "term", weight)
-        near = lookup_join(
-            neighbours, only.withColumnRenamed("term", "neighbour"), ["neighbour"], salt_col="term"
+        # an asked term brings itself in with factor 1: one join serves both kinds
+        asked = only.select(F.col("term").alias("target"))
+        near = lookup_join(factors, asked, ["target"], salt_col="term")
+        itself = asked.select(F.col("target").alias("term"), "target", F.lit(1.0).alias("factor"))
+        expanded = lookup_join(
+            weighted, itself.unionByName(near.select("term", "target", "factor")), ["term"],
+            salt_col=id_col,
         )
-    related = lookup_join(
-        counts.select(id_col, "term", weight), near, ["term"], salt_col=id_col, bound=neighbours
-    ).select(
-        id_col,
-        F.col("neighbour").alias("term"),
-        (F.col("weight") * F.col("strength") * scale).alias("weight"),
-    )
-    return (
-        own.unionByName(related)
-        .groupBy(id_col, "term")
-        .agg(F.max("weight").alias("weight"))
+    return expanded.groupBy(id_col, F.col("target").alias("term")).agg(
+        F.max(F.col("weight") * F.col("factor")).alias("weight")
     )
 
 
