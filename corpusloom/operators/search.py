@@ -17,13 +17,7 @@ from corpusloom.functions.rows import explode_items
 from corpusloom.functions.text import tokenize
 from corpusloom.functions.vectors import cosine_pairs, score_round
 from corpusloom.operators.joins import fits_broadcast, lookup_join
-from corpusloom.settings import (
-    BROADCAST_BYTES,
-    BROADCAST_ROWS,
-    EMBED_DIM,
-    RRF_K,
-    SCORE_DIGITS,
-)
+from corpusloom.settings import BROADCAST_BYTES, BROADCAST_ROWS, RRF_K, SCORE_DIGITS
 
 GROUP_LIMIT = 1000          # default of spark.sql.optimizer.windowGroupLimitThreshold
 RANK_PARTS = 64
@@ -182,6 +176,14 @@ def _unit_rows():
     return unit
 
 
+def query_size(queries: DataFrame, query_vec_col: str) -> tuple[int, int]:
+    """Number of queries, and the largest vector length among them."""
+    row = queries.agg(
+        F.count("*").alias("n"), F.max(F.size(query_vec_col)).alias("dim")
+    ).first()
+    return row["n"], max(1, row["dim"] or 1)
+
+
 def dense_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -221,10 +223,9 @@ def dense_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    n_queries = queries.count()
-    first = queries.select(F.size(query_vec_col).alias("dim")).first()
+    n_queries, dim = query_size(queries, query_vec_col)
     # the matrix, and the running best k per query kept by each task
-    needed = n_queries * (8 * max(1, first["dim"] if first else 1) + 48 * k)
+    needed = n_queries * (8 * dim + 48 * k)
     best, unit = _block_scorer(k, digits), _unit_rows()
 
     def filled(part, column):
@@ -346,7 +347,8 @@ def exact_rescore(
     else:
         paired = vectors.join(wanted, id_col)
     vectors_of = queries.select("query_id", query_vec_col)
-    if few_rows(queries, 1 + EMBED_DIM):
+    n_queries, dim = query_size(queries, query_vec_col)
+    if n_queries * dim * 8 <= BROADCAST_BYTES:
         vectors_of = F.broadcast(vectors_of)
     scored = (
         paired.join(vectors_of, "query_id")

@@ -40,6 +40,14 @@ def test_blockwise_equals_broadcast(spark, monkeypatch):
     assert hits(search.dense_topk(queries, corpus, 5, max_bytes=0)) == small
 
 
+def test_large_k_in_parts_equals_one_window(spark, monkeypatch):
+    rows = [(q, i, float((i * 7 + q) % 11)) for q in range(3) for i in range(50)]
+    scored = spark.createDataFrame(rows, "query_id long, chunk_id long, score double")
+    whole = hits(search.rank_hits(scored, 20))
+    monkeypatch.setattr(search, "GROUP_LIMIT", 5)
+    assert hits(search.rank_hits(scored, 20)) == whole and len(whole) == 60
+
+
 def test_string_ids(spark):
     corpus = frame(spark, [("b", [1.0, 0.0]), ("a", [1.0, 0.0])], "string")
     got = hits(search.dense_topk(asked(spark, [(1, [1.0, 0.0])]), corpus, 1))
