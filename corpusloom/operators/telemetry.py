@@ -105,7 +105,8 @@ def throttle_state(
     )
     blocked = signals.withColumn("_cuts", cuts.scalar()).withColumn(
         "block",
-        _cut_position(seconds, F.col("_cuts"), blocks),
+        # never null, so the join below adds no filter that computes it again
+        F.coalesce(_cut_position(seconds, F.col("_cuts"), blocks), F.lit(0)),
     ).drop("_cuts")
     in_block = Window.partitionBy("host", "block").orderBy(*order_cols)
     so_far = blocked.withColumn("_seen", F.last("signal", ignorenulls=True).over(in_block))
