@@ -60,3 +60,71 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
   CASE WHEN min(page_id) OVER same = page_id THEN NULL ELSE min(page_id) OVER same END AS refers_to
 FROM bits WINDOW same AS (PARTITION BY html)
 """
+
+
+# kind, rank, pattern, condition on hit h and the lower-cased text before it b
+_PII = [
+    ("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "TRUE"),
+    (
+        "ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "list_bool_and(list_transform(string_split(h, '.'), lambda p: length(ltrim(p, '0')) <= 3 "
+        "AND coalesce(try_cast(right(p, 3) AS INT), 0) <= 255))",
+    ),
+    (
+        "card", 2, r"[0-9]([\x20-]?[0-9])+",
+        "length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: "
+        "CASE WHEN i % 2 = 1 THEN substr(reverse(d), i, 1)::INT "
+        "WHEN 2 * substr(reverse(d), i, 1)::INT > 9 THEN 2 * substr(reverse(d), i, 1)::INT - 9 "
+        "ELSE 2 * substr(reverse(d), i, 1)::INT END)) % 10 = 0",
+    ),
+    ("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 10 AND 15"),
+    (
+        "iban", 4, r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?",
+        "length(replace(h, ' ', '')) BETWEEN 15 AND 34 AND "
+        "list_reduce(list_prepend(0, list_transform(string_split(substr(replace(h, ' ', ''), 5) || "
+        "left(replace(h, ' ', ''), 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c::INT "
+        "ELSE ascii(c) - 55 END)), lambda a, x: CASE WHEN x > 9 THEN (a * 100 + x) % 97 "
+        "ELSE (a * 10 + x) % 97 END) = 1",
+    ),
+    (
+        "ssn", 5, r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+        "NOT regexp_matches(b, '[0-9-]$') AND "
+        "regexp_matches(b, 'ssn|social security|sozialversicherung')",
+    ),
+    (
+        "secret", 6,
+        r"(?:password|passwd|secret|token|api_key|apikey)\x20?[=:]\x20?[\"'']?"
+        r"[A-Za-z0-9_+/.=-]{8,}|AKIA[0-9A-Z]{16}",
+        "regexp_matches(h, '[0-9]')",
+    ),
+]
+
+_PII_PARTS = " UNION ALL ".join(
+    f"""
+  SELECT id, '{kind}' AS kind, {rank} AS rank, h, start, start + length(h) AS stop FROM (
+    SELECT id, h, b, regexp_replace(h, '[^0-9]', '', 'g') AS d,
+           sum(length(p) + length(h)) OVER (PARTITION BY id ORDER BY i) - length(h) AS start
+    FROM (SELECT id, i, hits[i] AS h, pieces[i] AS p, lower(right(pieces[i], 40)) AS b FROM (
+      SELECT id, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (
+        SELECT id, regexp_extract_all(text, '{pattern}') AS hits,
+               regexp_split_to_array(text, '{pattern}') AS pieces FROM numbered)))
+  ) WHERE {condition}"""
+    for kind, rank, pattern, condition in _PII
+)
+
+SQL["op4_pii"] = f"""
+WITH numbered AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS id FROM documents
+), found AS ({_PII_PARTS}), listed AS (
+  SELECT id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)
+      FILTER (rank < 4) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM found GROUP BY id
+)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
+  coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM numbered LEFT JOIN listed USING (id)
+"""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import mixing, quality_rules, warc
-from corpusloom.llm.common import table
+from corpusloom.llm import langid, mixing, pieces, pii, quality_cnn, quality_rules, warc
+from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,6 +24,55 @@ def op1_quality_rules(spark, folder):
     return quality_rules.apply_rules(table(spark, folder, "documents"))
 
 
+@query
+def op2_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(crc_of(F.col("doc_id")), F.lit(3)) == 1
+    model = langid.fit_language_model(docs.filter(~held_out))
+    return langid.detect_languages(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+def piece_model():
+    """The model file of the pieces; its place is a parameter of the environment."""
+    return os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query
+def op3_sentencepiece(spark, folder):
+    docs = table(spark, folder, "documents")
+    vocabulary = pieces.load_vocabulary(piece_model())
+    return pieces.encode_and_check(docs, vocabulary)
+
+
+@query
+def op4_pii(spark, folder):
+    return pii.detect_pii(table(spark, folder, "documents")).drop("found")
+
+
+def quality_weights(spark, folder):
+    """Learned from the labelled rows that are not held out."""
+    learned = F.pmod(crc_of(F.col("doc_id")), F.lit(5)) != 0
+    return quality_cnn.fit_quality_model(
+        table(spark, folder, "documents").filter(learned), table(spark, folder, "labels")
+    )
+
+
+@query
+def op5_quality_classifier(spark, folder):
+    scored = quality_cnn.score_quality(
+        table(spark, folder, "documents"), quality_weights(spark, folder)
+    )
+    return scored.select(
+        "doc_id",
+        (F.pmod(crc_of(F.col("doc_id")), F.lit(5)) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_mix_sources(spark, folder):
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
