@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import langid, mixing, pieces, pii, quality_cnn, quality_rules, warc
+from corpusloom.llm import curves, langid, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
 from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op5_quality_classifier(spark, folder):
     )
 
 
+@query
+def op7_repeats(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents"), keep_text=False).drop("kept")
+
+
 @query
 def op8_mix_sources(spark, folder):
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
@@ -85,3 +90,10 @@ def op9_warc(spark, folder):
     return warc.read_archives(archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op10_nearest_neighbours(spark, folder):
+    return curves.nearest_neighbours(
+        table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0
+    )
