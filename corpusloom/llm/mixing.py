@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import count_words, staged
+from corpusloom.llm.common import count_words, evaluated, staged, word_array
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEATS = 2.0
 BLOCK_WORDS = 8
+TEXT_BLOCK_WORDS = 1024     # where texts are cut: mostly whole documents
 SHARD_WORDS = 1 << 20
 MAX_SHARDS = 1 << 16
 SEED = 20240607
@@ -126,7 +127,9 @@ def mix_sources(
     source_col: str = "source",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken``, one row per document.
+    """``doc_id, source, size, source_size, target, taken``, one row per document,
+    and where in its shard it lies: ``start_word, passes, extra_blocks, block_offset,
+    blocks``.
 
     ``taken`` is how many words of the document the mix takes, repeats counted;
     at most ``repeats`` (a whole number) times its size.  A source's taken words
@@ -199,6 +202,79 @@ def mix_sources(
         "source_size",
         "target",
         F.when(F.col("size") == 0, F.lit(0)).otherwise(taken).cast("long").alias("taken"),
+        start.alias("start_word"),
+        passes.cast("long").alias("passes"),
+        extra.cast("long").alias("extra_blocks"),
+        offset.alias("block_offset"),
+        "blocks",
+    )
+
+
+def mix_documents(
+    docs: DataFrame, block_words: int = TEXT_BLOCK_WORDS, id_col: str = "doc_id",
+    source_col: str = "source", text_col: str = "text", **options,
+) -> DataFrame:
+    """The mixed documents themselves, in the columns of ``docs``.
+
+    A document comes once for every whole pass and, if some of its blocks are
+    taken once more, again with the words of these blocks: its text as it is if
+    that is all of them, else the words joined by blanks.  Documents of which
+    nothing is taken, such as empty ones, are absent.  ``n_chars`` follows the
+    text where the column exists.
+    """
+    row = {
+        "_id": F.col(id_col), "_hash": F.xxhash64(text_col, source_col),
+    }
+    numbered = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
+    plan = mix_sources(
+        docs.withColumns(row).select("_id", "_hash", text_col, source_col).withColumnsRenamed(
+            {text_col: "text", source_col: "source"}
+        ).withColumn("doc_id", F.struct("_id", "_hash")),
+        block_words=block_words, **options,
+    ).select(
+        F.col("doc_id._id").alias("_p_id"), F.col("doc_id._hash").alias("_p_hash"),
+        "taken", "size", "start_word", "passes", "extra_blocks", "block_offset", "blocks",
+    )
+    copies = Window.partitionBy("_p_id", "_p_hash").orderBy("start_word", "passes", "block_offset")
+    plan = plan.withColumn("_p_no", F.row_number().over(copies)).filter("taken > 0")
+    placed = docs.withColumns(row).withColumn("_no", F.row_number().over(numbered))
+    joined = placed.join(
+        plan,
+        F.col("_id").eqNullSafe(F.col("_p_id")) & (F.col("_hash") == F.col("_p_hash"))
+        & (F.col("_no") == F.col("_p_no")),
+    )
+    again = F.col("taken") - F.col("passes") * F.col("size")
+    ready = evaluated(
+        joined, *docs.columns, "size", "passes", "start_word", "extra_blocks", "block_offset",
+        "blocks", again.alias("_again"),
+        F.when((again > 0) & (again < F.col("size")), word_array(F.col(text_col))).alias("_words"),
+    )
+
+    def chosen(word, i):
+        block = F.floor((F.col("start_word") + i) / F.lit(block_words))
+        before = F.floor((block * F.col("extra_blocks") + F.col("block_offset")) / F.col("blocks"))
+        after = F.floor(
+            ((block + 1) * F.col("extra_blocks") + F.col("block_offset")) / F.col("blocks")
+        )
+        return after > before
+
+    part = F.when(F.col("_again") == F.col("size"), F.col(text_col)).when(
+        F.col("_again") > 0, F.array_join(F.filter("_words", chosen), " ")
+    )
+    texts = F.concat(
+        F.array_repeat(F.col(text_col), F.col("passes").cast("int")),
+        F.when(F.col("_again") > 0, F.array(part)).otherwise(F.array().cast("array<string>")),
+    )
+    emitted = ready.select(
+        *[c for c in docs.columns if c != text_col], F.explode_outer(texts).alias("_text")
+    )
+    return emitted.select(
+        *[
+            F.col("_text").alias(c) if c == text_col
+            else F.length("_text").cast("long").alias(c) if c == "n_chars"
+            else F.col(c)
+            for c in docs.columns
+        ]
     )
 
 

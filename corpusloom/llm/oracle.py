@@ -128,3 +128,72 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM numbered LEFT JOIN listed USING (id)
 """
+
+SQL["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, row_number() OVER () AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), tokens AS (
+  SELECT DISTINCT id, array_to_string(w[i:i + 2], chr(10)) AS token
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM split WHERE len(w) > 0)
+), sizes AS (
+  SELECT id, count(*) AS n FROM tokens GROUP BY id
+), sets AS (
+  SELECT id, md5(string_agg(token, chr(0) ORDER BY token)) AS kind FROM tokens GROUP BY id
+), chosen AS (
+  SELECT kind, min(id) AS id FROM sets GROUP BY kind
+), few AS (
+  SELECT t.id, t.token FROM tokens t JOIN chosen USING (id)
+), shared AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS common
+  FROM few a JOIN few b ON a.token = b.token AND a.id < b.id GROUP BY a.id, b.id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b
+  WHERE 100 * common >= 90 * (x.n + y.n - common)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+  UNION SELECT s.id, c.id FROM sets s JOIN chosen c USING (kind)
+  UNION SELECT c.id, s.id FROM sets s JOIN chosen c USING (kind)
+), reached(start, id) AS (
+  SELECT id, id FROM split
+  UNION
+  SELECT r.start, edges.b FROM reached r JOIN edges ON edges.a = r.id
+)
+SELECT s.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+FROM split s LEFT JOIN sizes USING (id) JOIN (
+  SELECT r.start AS id, min(t.doc_id) AS component_id
+  FROM reached r JOIN split t ON t.id = r.id GROUP BY r.start
+) c USING (id)
+"""
+
+SQL["op7_repeats"] = """
+WITH raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, row_number() OVER () AS id FROM documents
+), starts AS (
+  SELECT id, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM raw
+), windows AS (
+  SELECT id, doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM starts
+), lost AS (
+  SELECT id, p FROM (
+    SELECT id, p, doc_id, min(doc_id) OVER (PARTITION BY w) AS first FROM windows
+  ) WHERE first < doc_id
+), bytes AS (
+  SELECT id, unnest(range(0, length(h) // 2)) AS p, h FROM raw
+), marked AS (
+  SELECT b.id, b.p, substr(b.h, 2 * b.p + 1, 2) AS two,
+    b.p - max(l.p) OVER (PARTITION BY b.id ORDER BY b.p) < 50 AS gone
+  FROM bytes b LEFT JOIN lost l ON l.id = b.id AND l.p = b.p
+), flagged AS (
+  SELECT *, coalesce(gone, FALSE) AS g,
+    lag(coalesce(gone, FALSE), 1, FALSE) OVER (PARTITION BY id ORDER BY p) AS before FROM marked
+), summed AS (
+  SELECT id, count(*) FILTER (g) AS n_removed, count(*) FILTER (g AND NOT before) AS n_spans,
+    coalesce(string_agg(two, '' ORDER BY p) FILTER (NOT g), '') AS kept
+  FROM flagged GROUP BY id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM raw LEFT JOIN summed USING (id)
+"""

@@ -188,6 +188,33 @@ def fit_quality_model(
     return pickle.loads(found[0][0])
 
 
+def piecewise(weights, texts: list[str | None]) -> np.ndarray:
+    """Probabilities of the texts of a batch, some megabytes at a time."""
+    found, piece, size = [np.empty(0)], [], 0
+    for text in texts:
+        piece.append((text or "").encode("utf-8"))
+        size += len(piece[-1]) + CHUNK
+        if size > 2_000_000:
+            found.append(probability(weights, piece))
+            piece, size = [], 0
+    if piece:
+        found.append(probability(weights, piece))
+    return np.concatenate(found)
+
+
+def keep_quality(
+    docs: DataFrame, weights, threshold: float = THRESHOLD, text_col: str = "text"
+) -> DataFrame:
+    """The rows whose text scores at least ``threshold``, with all their columns."""
+
+    def keep(batches):
+        for batch in batches:
+            scores = piecewise(weights, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score_quality(
     docs: DataFrame, weights, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -199,21 +226,9 @@ def score_quality(
 
     def score(batches):
         for batch in batches:
-            texts = [(t or "").encode("utf-8") for t in batch.column("text").to_pylist()]
-            found, piece, size = [], [], 0
-            for text in texts:
-                piece.append(text)
-                size += len(text) + CHUNK
-                if size > 2_000_000:
-                    found.append(probability(weights, piece))
-                    piece, size = [], 0
-            if piece:
-                found.append(probability(weights, piece))
+            scores = piecewise(weights, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.concatenate(found) if found else np.empty(0), pa.float64()),
-                ],
+                [batch.column("doc_id"), pa.array(scores, pa.float64())],
                 names=["doc_id", "score"],
             )
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import curves, langid, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
+from corpusloom.llm import curves, jaccard, langid, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
 from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op5_quality_classifier(spark, folder):
     )
 
 
+@query
+def op6_ngram_jaccard(spark, folder):
+    return jaccard.link_components(table(spark, folder, "documents"))
+
+
 @query
 def op7_repeats(spark, folder):
     return repeats.remove_repeats(table(spark, folder, "documents"), keep_text=False).drop("kept")
