@@ -232,6 +232,8 @@ def nearest_neighbours(
         "id", "vector",
     ).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     keys = ["curve", "window", "part", "share"]
+    # both sides stem from one table: other names tell them apart
+    asked = asked.withColumnsRenamed({c: f"q_{c}" for c in asked.columns})
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -242,8 +244,8 @@ def nearest_neighbours(
         ids = right.column("id").to_numpy()
         by_id = np.argsort(ids, kind="stable")
         ids, x = ids[by_id], matrix(right.column("vector").combine_chunks(), dimension)[by_id]
-        asking = left.column("id").to_numpy()
-        q = matrix(left.column("vector").combine_chunks(), dimension)
+        asking = left.column("q_id").to_numpy()
+        q = matrix(left.column("q_vector").combine_chunks(), dimension)
         found = []
         for at in range(0, len(q), 512):
             scores = q[at : at + 512] @ x.T
@@ -260,12 +262,12 @@ def nearest_neighbours(
         )
 
     met = (
-        asked.groupBy(*keys)
+        asked.groupBy(*[f"q_{k}" for k in keys])
         .cogroup(held.groupBy(*keys))
         .applyInArrow(meet, "query_id long, point_id long, score double")
     )
-    # the same point from several windows has the same score
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # the same point from several windows has the same score
     merged = met.groupBy("query_id", "point_id").agg(F.max("score").alias("score"))
     best_points = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
     few = merged.withColumn("r", F.row_number().over(best_points)).filter(F.col("r") <= top + 1)

@@ -167,33 +167,3 @@ FROM split s LEFT JOIN sizes USING (id) JOIN (
   FROM reached r JOIN split t ON t.id = r.id GROUP BY r.start
 ) c USING (id)
 """
-
-SQL["op7_repeats"] = """
-WITH raw AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, row_number() OVER () AS id FROM documents
-), starts AS (
-  SELECT id, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM raw
-), windows AS (
-  SELECT id, doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM starts
-), lost AS (
-  SELECT id, p FROM (
-    SELECT id, p, doc_id, min(doc_id) OVER (PARTITION BY w) AS first FROM windows
-  ) WHERE first < doc_id
-), bytes AS (
-  SELECT id, unnest(range(0, length(h) // 2)) AS p, h FROM raw
-), marked AS (
-  SELECT b.id, b.p, substr(b.h, 2 * b.p + 1, 2) AS two,
-    b.p - max(l.p) OVER (PARTITION BY b.id ORDER BY b.p) < 50 AS gone
-  FROM bytes b LEFT JOIN lost l ON l.id = b.id AND l.p = b.p
-), flagged AS (
-  SELECT *, coalesce(gone, FALSE) AS g,
-    lag(coalesce(gone, FALSE), 1, FALSE) OVER (PARTITION BY id ORDER BY p) AS before FROM marked
-), summed AS (
-  SELECT id, count(*) FILTER (g) AS n_removed, count(*) FILTER (g AND NOT before) AS n_spans,
-    coalesce(string_agg(two, '' ORDER BY p) FILTER (NOT g), '') AS kept
-  FROM flagged GROUP BY id
-)
-SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
-  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM raw LEFT JOIN summed USING (id)
-"""

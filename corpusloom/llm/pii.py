@@ -136,8 +136,10 @@ KINDS = [
 SPAN = "struct<start:int,rank:int,end:int,kind:string,score:double>"
 
 
-def find_spans(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Adds ``spans``: array of ``start, rank, end, kind, score``, in that order.
+def find_spans(
+    docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, into: str = "spans"
+) -> DataFrame:
+    """Adds the column ``into``: array of ``start, rank, end, kind, score``, in that order.
 
     Offsets are code points, ``end`` exclusive.  Per kind the matches are leftmost
     and do not overlap; a match that its validator refuses is dropped and nothing
@@ -201,7 +203,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", threshold: float = THRES
         return F.coalesce(good, F.array().cast(f"array<{SPAN}>"))
 
     everything = F.concat(*[spans(k, rank) for rank, k in enumerate(KINDS)])
-    return placed.select(*kept, F.sort_array(everything).alias("spans"))
+    return placed.select(*kept, F.sort_array(everything).alias(into))
 
 
 def span_text(spans: Column) -> Column:
@@ -247,9 +249,9 @@ def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD
     Null stays null; other columns are untouched.
     """
     kept = docs.columns
-    found = find_spans(docs, text_col, threshold)
+    found = find_spans(docs, text_col, threshold, into="_found")
     merged = F.aggregate(
-        "spans",
+        "_found",
         F.array().cast("array<struct<start:int,end:int,kind:string>>"),
         lambda a, s: F.when(
             (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["end"] > s["start"]),
