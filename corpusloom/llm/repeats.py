@@ -35,7 +35,7 @@ GRAM = 16
 MAX_RUN = 512                       # windows of one run at most
 SEGMENT = 1_000_000                 # bytes hashed at once
 PART_BYTES = 12 * 1024 * 1024       # texts of one task
-BUCKET_BYTES = 40 * 1024 * 1024     # bytes of text whose runs meet in one bucket
+BUCKET_BYTES = 12 * 1024 * 1024     # bytes of text whose runs meet in one bucket
 FLUSH_RUNS = 3_000_000
 
 DEALT = "bucket int, docs binary, hashes binary, owner binary, number binary"
@@ -284,18 +284,19 @@ def gather_runs(texts: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def radix_groups(digits: np.ndarray, at: np.ndarray):
+def radix_groups(data: np.ndarray, at: np.ndarray):
     """Groups of equal windows: most significant digit first, to LENGTH bytes.
 
-    ``digits`` holds the eight bytes from each place on, ``at`` the places where
-    the windows begin.  After a digit only groups of two or more go on.  Yields
-    nothing for windows that stand alone; otherwise ``order, begins, sizes``.
+    ``at``: the places of ``data`` where the windows begin.  A digit is read only
+    for the windows that are still in a group of two or more.  Returns ``order,
+    begins, sizes`` of the groups; windows that stand alone are in none.
     """
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
     order = np.arange(len(at))
     group = np.zeros(len(at), np.int64)
     depths = [*range(0, LENGTH - 8, 8), LENGTH - 8]
     for depth in depths:
-        digit = digits[at[order] + depth]
+        digit = eight[at[order] + depth].view(">u8").reshape(-1).astype(np.uint64)
         by = np.lexsort((digit, group)) if depth else np.argsort(digit, kind="stable")
         order, group, digit = order[by], group[by], digit[by]
         if not len(order):
@@ -348,7 +349,7 @@ def find_ranges(runs: DataFrame, parts: int) -> DataFrame:
         at = ranges(np.cumsum(lengths) - lengths, windows)
         whose = np.repeat(np.arange(len(contents)), windows)
         source = smallest[whose]
-        order, begins, sizes = radix_groups(words_at_every_byte(data), at)
+        order, begins, sizes = radix_groups(data, at)
         if len(begins):
             least = np.minimum.reduceat(source[order], begins)
             source[order] = np.repeat(least, sizes)
