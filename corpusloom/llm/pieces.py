@@ -34,8 +34,8 @@ ZIPF_SHIFT = 10.0
 SHARPNESS = 2.0         # exponent of the piece weights: higher, fewer and longer pieces
 BYTE_WEIGHT = 1e-9      # of a byte piece before sharpening; pieces are preferred
 SHORT = 48              # units up to this length are filtered together and cached
-CACHE_EDGES = 3_000_000
-PIECE_CHARS = 1_500_000
+CACHE_EDGES = 2_000_000
+PIECE_CHARS = 400_000
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 _UNIT = np.uint64(0x9E3779B97F4A7C15)
@@ -115,8 +115,8 @@ class Lattices:
         self.node_of: dict[str, int] = {}       # unit -> its last node
         self.edge_from = np.zeros(1, np.int64)  # by node: first edge that ends there
         self.cut = np.empty(0)                  # by edge: cumulated probability at its node
-        self.start = np.empty(0, np.int64)      # by edge: node it starts from
-        self.piece = np.empty(0, np.int64)      # by edge: id, or -1 - code point
+        self.start = np.empty(0, np.int32)      # by edge: node it starts from
+        self.piece = np.empty(0, np.int32)      # by edge: id, or -1 - code point
 
     def add(self, units: list[str]) -> None:
         """Forward filtering of new units, all together, place by place."""
@@ -160,8 +160,10 @@ class Lattices:
         before = np.concatenate([[0.0], running])[first]
         first_node, first_edge = len(self.edge_from) - 1, len(self.cut)
         self.cut = np.concatenate([self.cut, running - before[node]])
-        self.start = np.concatenate([self.start, base[owner[order]] + start[order] + first_node])
-        self.piece = np.concatenate([self.piece, piece[order]])
+        self.start = np.concatenate(
+            [self.start, (base[owner[order]] + start[order] + first_node).astype(np.int32)]
+        )
+        self.piece = np.concatenate([self.piece, piece[order].astype(np.int32)])
         self.edge_from = np.concatenate(
             [self.edge_from[:-1], first + first_edge, [first_edge + len(share)]]
         )
@@ -270,14 +272,14 @@ def encode_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     seed: int = SEED,
-    keep_text: bool = False,
+    check: bool = False,
 ) -> DataFrame:
     """``doc_id, piece_ids``: one sampled segmentation of every whole text.
 
     The row key is the id; equal ids with equal texts get equal pieces, and so do
     reruns.  Null text: null.  Empty text: no piece.  A null id is a key like any
     other; an empty table gives no rows; other columns are not read.
-    ``keep_text`` adds the column ``text``.
+    ``check`` decodes again and adds whether the text came back, ``lossless``.
     """
     source = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -285,43 +287,46 @@ def encode_pieces(
         F.xxhash64(F.lit(seed), F.col(id_col)).alias("_key"),
     )
 
-    kept = ["doc_id", "text"] if keep_text else ["doc_id"]
-
     def encode(batches):
         lattices = Lattices(vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = batch.column("_key").to_numpy().view(np.uint64)
+            column, keys = batch.column("text"), batch.column("_key").to_numpy().view(np.uint64)
             begin = 0
-            while begin < len(texts):
-                stop, size = begin, 0
-                while stop < len(texts) and (size < PIECE_CHARS or stop == begin):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                split = [UNIT.findall(t) if t else [] for t in texts[begin:stop]]
+            while begin < len(column):
+                texts, size = [], 0
+                while begin + len(texts) < len(column) and (size < PIECE_CHARS or not texts):
+                    texts.append(column[begin + len(texts)].as_py())
+                    size += len(texts[-1] or "")
+                split = [UNIT.findall(t) if t else [] for t in texts]
                 counts = np.array([len(s) for s in split])
                 units = [u for s in split for u in s]
                 number = np.arange(len(units)) - np.repeat(np.cumsum(counts) - counts, counts)
                 ids, per_unit = lattices.sample(
-                    units, np.repeat(keys[begin:stop], counts), number.astype(np.uint64)
+                    units, np.repeat(keys[begin : begin + len(texts)], counts),
+                    number.astype(np.uint64),
                 )
                 edges = np.concatenate([[0], np.cumsum(per_unit)])
-                edges = edges[np.concatenate([[0], np.cumsum(counts)])]
-                missing = np.array([t is None for t in texts[begin:stop]] + [False])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(c).slice(begin, stop - begin) for c in kept],
-                        pa.ListArray.from_arrays(
-                            pa.array(edges.astype(np.int32), mask=missing),
-                            pa.array(ids.astype(np.int32)),
-                        ),
-                    ],
-                    names=[*kept, "piece_ids"],
-                )
-                begin = stop
-
-    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in kept)
-    return source.mapInArrow(encode, f"{kinds}, piece_ids array<int>")
+                edges = edges[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+                missing = np.array([t is None for t in texts] + [False])
+                found = [
+                    batch.column("doc_id").slice(begin, len(texts)),
+                    pa.ListArray.from_arrays(
+                        pa.array(edges, mask=missing), pa.array(ids.astype(np.int32))
+                    ),
+                ]
+                if check:
+                    same = [
+                        t is None or decode_ids(ids[x:y].tolist(), vocabulary.contents) == t
+                        for t, x, y in zip(texts, edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+                    ]
+                    found.append(pa.array(same, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(found, names=names)
+                begin += len(texts)
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    columns = f"doc_id {kind}, piece_ids array<int>" + ", lossless boolean" * check
+    names = ["doc_id", "piece_ids", "lossless"][: 2 + check]
+    return source.mapInArrow(encode, columns)
 
 
 def decode_ids(ids, contents: list[bytes]) -> str:
@@ -352,16 +357,8 @@ def decode_pieces(encoded: DataFrame, vocabulary: Vocabulary, keep=("doc_id",))
 
 def encode_and_check(docs: DataFrame, vocabulary: Vocabulary, **options) -> DataFrame:
     """``doc_id, piece_ids, n_pieces, lossless``: encoded, decoded again and compared."""
-    encoded = encode_pieces(docs, vocabulary, keep_text=True, **options).withColumnRenamed(
-        "text", "original"
-    )
-    decoded = decode_pieces(encoded, vocabulary, keep=("doc_id", "original", "piece_ids"))
-    return decoded.select(
-        "doc_id",
-        "piece_ids",
-        F.when(F.col("piece_ids").isNull(), F.lit(0))
-        .otherwise(F.size("piece_ids"))
-        .cast("long")
-        .alias("n_pieces"),
-        F.col("text").eqNullSafe(F.col("original")).alias("lossless"),
+    encoded = encode_pieces(docs, vocabulary, check=True, **options)
+    count = F.when(F.col("piece_ids").isNull(), F.lit(0)).otherwise(F.size("piece_ids"))
+    return encoded.select(
+        "doc_id", "piece_ids", count.cast("long").alias("n_pieces"), "lossless"
     )
