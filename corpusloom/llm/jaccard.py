@@ -13,8 +13,8 @@ similarity reaches the threshold.  The result is each document's component.
    bitmaps, a range of sizes and the largest number of tokens their bitmaps hide.
    A dual traversal drops node pairs that cannot reach the threshold and those
    that are one component already; leaf pairs are compared token by token.
-4. Components too large for a task are first linked to the set their keys chose,
-   then split into blocks; only blocks that hold unsettled sets meet others.
+4. Sets of components too large for a task are first compared with one or two sets
+   that their keys chose; then only blocks of sets that this left open meet others.
 
 Equal sets are one set throughout, so copies cost one row per task.
 """
@@ -36,7 +36,7 @@ THRESHOLD = (90, 100)
 LEVEL_RATIO = 1.4
 LEAF = 8
 FANOUT = 8
-BLOCK = 512                     # sets of a block of a large component
+BLOCK = 4096                    # sets of a component, or of a block, that one task takes
 BUCKET_KEYS = 1_500_000
 FLUSH_KEYS = 2_000_000
 SEGMENT = 1_500_000
@@ -575,7 +575,13 @@ def large_links(sets, member, edges, threshold, block) -> DataFrame:
     """Links of the components that no single task takes."""
     num, den = threshold
     tokens = sets.select(F.col("node").alias("key"), "tokens")
-    inside = edges.join(member.select(F.col("of").alias("a")), "a")
+    # of the sets that its keys chose, a set is compared with the first and the last
+    inside = (
+        edges.join(member.select(F.col("of").alias("a")), "a")
+        .groupBy("b")
+        .agg(F.array_distinct(F.array(F.min("a"), F.max("a"))).alias("firsts"))
+        .select("b", F.explode("firsts").alias("a"))
+    )
     both = (
         inside.join(tokens, F.col("b") == F.col("key")).drop("key").withColumnRenamed("tokens", "t_b")
         .join(tokens, F.col("a") == F.col("key")).drop("key")
