@@ -5,10 +5,10 @@ from __future__ import annotations
 # ------------------------------------------------------------- shared fragments
 
 
-def tokens(column: str) -> str:
+def tokens(column: str, bounds: str = ">= 1") -> str:
     return (
         f"list_filter(string_split_regex(lower({column}), '[^\\p{{L}}\\p{{N}}]+'), "
-        "lambda t: length(t) between 2 and 20)"
+        f"lambda t: length(t) {bounds})"
     )
 
 
@@ -68,10 +68,11 @@ NEIGHBOURS = """
 tokp as materialized (
   select chunk_id, unnest(tokens) as term, generate_subscripts(tokens, 1) as pos from tok),
 following as materialized (
-  select term, lead(term, 1) over w as t1, lead(term, 2) over w as t2
+  select term, lead(term, 1) over w as t1, lead(term, 2) over w as t2,
+         lead(term, 3) over w as t3, lead(term, 4) over w as t4
   from tokp window w as (partition by chunk_id order by pos)),
 both_ways as materialized (
-  select term as a, o as b from (select term, unnest([t1, t2]) as o from following)
+  select term as a, o as b from (select term, unnest([t1, t2, t3, t4]) as o from following)
   where o is not null and o <> term),
 pairs as materialized (
   select a, b, count(*) as n from (
@@ -81,9 +82,9 @@ total as materialized (select sum(m) as s from margins),
 strengths as materialized (
   select p.a as term, p.b as neighbour,
          round(ln(n::double * s / (l.m::double * r.m)) / -ln(n::double / s), 6) as strength
-  from pairs p join margins l on l.a = p.a join margins r on r.a = p.b, total where n >= 3),
+  from pairs p join margins l on l.a = p.a join margins r on r.a = p.b, total),
 near as materialized (
-  select term, neighbour, strength from strengths where strength >= 0.3
+  select term, neighbour, strength from strengths where strength > 0
   qualify row_number() over (partition by term order by strength desc, neighbour) <= 3)
 """
 
@@ -410,7 +411,7 @@ select word, count(*) as n from (
   select item_id::varchar || '-' || (generate_subscripts(parts, 1) - 1) as query_id, unnest(parts) as query
   from (select item_id, string_split_regex(text, '[.,:\\n]') as parts from benchmark)),
 wanted as materialized (
-  select query_id, list_distinct({tokens('query')}) as tokens from lines),
+  select query_id, list_distinct({tokens('query', 'between 2 and 20')}) as tokens from lines),
 terms as materialized (select query_id, len(tokens) as wanted, unnest(tokens) as term from wanted),
 has as materialized (
   select distinct doc_id as chunk_id, term from (

@@ -19,7 +19,7 @@ CODE_LANGUAGES = {
     ".go": "go",
 }
 MARKUP_SUFFIXES = [".html", ".htm", ".xhtml", ".xml", ".svg"]
-TOKEN_MIN = 2
+TOKEN_MIN = 2               # bounds of the text index, that is of match_text only
 TOKEN_MAX = 20
 
 # White space as str.strip and str.split see it: the Unicode White_Space
@@ -76,9 +76,11 @@ def drop_blank(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.filter(not_blank(F.col(text_col)))
 
 
-def tokenize(text: Column, min_len: int = TOKEN_MIN, max_len: int = TOKEN_MAX) -> Column:
-    """Lower-cased runs of letters and digits whose length is in bounds."""
+def tokenize(text: Column, min_len: int = 1, max_len: int | None = None) -> Column:
+    """Lower-cased runs of letters and digits; bounds on their length are off by default."""
     pieces = F.split(F.lower(text), _TOKEN_BREAK)
+    if max_len is None:
+        return F.filter(pieces, lambda t: F.length(t) >= min_len)
     return F.filter(pieces, lambda t: F.length(t).between(min_len, max_len))
 
 

@@ -7,15 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.settings import BROADCAST_ROWS
+from corpusloom.settings import BROADCAST_BYTES, BROADCAST_ROWS
 
 HOT_KEYS = 256
 SALTS = 32
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows and BROADCAST_BYTES bytes.
+
+    Rows are counted no further than the bound; text has no bound of its own, so
+    its bytes are summed.
+    """
+    width = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    found = df.limit(max_rows + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return found["n"] <= max_rows and found["bytes"] <= BROADCAST_BYTES
 
 
 def lookup_join(

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusloom.functions.rows import explode_items
-from corpusloom.functions.text import tokenize
+from corpusloom.functions.text import TOKEN_MAX, TOKEN_MIN, tokenize
 from corpusloom.functions.vectors import cosine_pairs, score_round
 from corpusloom.operators.joins import fits_broadcast, lookup_join
 from corpusloom.settings import BROADCAST_BYTES, BROADCAST_ROWS, RRF_K, SCORE_DIGITS
@@ -50,8 +50,8 @@ def limit_per_query(hits: DataFrame, limit: int) -> DataFrame:
     return hits.filter(F.col("rank") <= limit)
 
 
-def min_score(hits: DataFrame, threshold: float) -> DataFrame:
-    return hits.filter(F.col("score") >= threshold)
+def min_score(hits: DataFrame, threshold: float, score_col: str = "score") -> DataFrame:
+    return hits.filter(F.col(score_col) >= threshold)
 
 
 # --------------------------------------------------------------------- sparse
@@ -100,10 +100,12 @@ def sparse_topk(
 
 
 def match_text(query_texts: DataFrame, postings: DataFrame, id_col: str = "chunk_id") -> DataFrame:
-    """``query_id, chunk_id``: chunks that contain every token of the query."""
-    terms = query_texts.select(
-        "query_id", F.array_distinct(tokenize(F.col("query"))).alias("tokens")
-    )
+    """``query_id, chunk_id``: chunks that contain every token of the query.
+
+    Like a text index, it looks at tokens of TOKEN_MIN to TOKEN_MAX letters only.
+    """
+    indexed = tokenize(F.col("query"), TOKEN_MIN, TOKEN_MAX)
+    terms = query_texts.select("query_id", F.array_distinct(indexed).alias("tokens"))
     wanted = explode_items(
         terms, ["query_id", F.size("tokens").alias("wanted")], F.col("tokens"), "term"
     )

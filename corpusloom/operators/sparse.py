@@ -16,10 +16,10 @@ from corpusloom.functions.text import tokenize
 from corpusloom.operators.joins import lookup_join
 from corpusloom.settings import BM25_B, BM25_K1, ensure_checkpoint_dir
 
-SPAN = 2
+SPAN = 4
 NEIGHBOURS = 3
-MIN_STRENGTH = 0.3
-MIN_PAIRS = 3
+MIN_STRENGTH = 0.0          # associations above it count
+MIN_PAIRS = 1
 EXPANSION_SCALE = 0.5
 
 
@@ -136,8 +136,8 @@ def term_neighbours(
     """``term, neighbour, strength``: the ``top`` most strongly associated terms.
 
     Strength is normalized pointwise mutual information over windows of
-    neighbouring tokens, at most 1; weak associations, which the most frequent
-    terms have with almost anything, are left out.  The pair counts are read
+    neighbouring tokens, at most 1; every association above ``min_strength``
+    takes part, by default every positive one.  The pair counts are read
     several times and are therefore checkpointed.
     """
     ensure_checkpoint_dir(df.sparkSession)
@@ -158,7 +158,7 @@ def term_neighbours(
     right = margins.select(F.col("term").alias("b"), F.col("m").alias("mb"))
     linked = lookup_join(lookup_join(frequent, left, ["a"], "b"), right, ["b"], "a", bound=left)
     linked = linked.select("a", "b", strength.alias("strength")).filter(
-        F.col("strength") >= min_strength
+        F.col("strength") > min_strength
     )
     both_ways = linked.select(
         F.explode(

@@ -143,7 +143,7 @@ def hybrid_search(
         best = rerank(candidates.repartition("query_id", "chunk_id"), scorer, limit)
         shown = ["query_id", "rank", "chunk_id", "score", "rerank_score"]
     if threshold is not None:
-        best = min_score(best, threshold)
+        best = min_score(best, threshold, "score" if scorer is None else "rerank_score")
     return best.select(*shown, *payload)
 
 

@@ -21,9 +21,7 @@ LIMIT = 10
 PREFETCH_FACTOR = 25        # candidates per channel = 25 x limit
 FUSED_FACTOR = 5            # candidates reranked = 5 x limit
 
-# Largest tables that may be broadcast.  Rows of these tables have a bounded
-# width (a term of at most 20 characters, ids and numbers), so a row bound is a
-# byte bound: one million rows are roughly 100 MB.
+# Largest tables that may be broadcast, in rows and in bytes.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 

@@ -27,7 +27,14 @@ def test_blank_rows_are_dropped(spark):
 
 def test_token_lengths_and_case(spark):
     text = "a Ab " + "C" * 20 + " " + "d" * 21 + " Été_x2"
-    assert one(spark, text, "string", tx.tokenize) == ["ab", "c" * 20, "été", "x2"]
+    bounded = lambda t: tx.tokenize(t, tx.TOKEN_MIN, tx.TOKEN_MAX)
+    assert one(spark, text, "string", bounded) == ["ab", "c" * 20, "été", "x2"]
+    assert one(spark, text, "string", tx.tokenize) == ["a", "ab", "c" * 20, "d" * 21, "été", "x2"]
+
+
+def test_long_and_single_letter_texts_have_tokens(spark):
+    for text in ("没有空格的句子", "a b c", "x" * 45):
+        assert one(spark, text, "string", tx.tokenize)
 
 
 def test_words_match_python_split(spark):
