@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.packing import ranges
+
 # Fixed value: how the model file writes a blank.
 BLANK = "▁"
 
@@ -48,6 +50,7 @@ class Vocabulary:
     byte_ids: np.ndarray         # id of each byte piece
     contents: list[bytes]        # what each id decodes to
     longest: int
+    trie: Trie
 
 
 def load_vocabulary(model_file: str, sharpness: float = SHARPNESS) -> Vocabulary:
@@ -77,7 +80,7 @@ def load_vocabulary(model_file: str, sharpness: float = SHARPNESS) -> Vocabulary
     weights /= weights[list(ids.values())].sum()
     weights[byte_ids] = BYTE_WEIGHT
     return Vocabulary(
-        ids, weights**sharpness, byte_ids, contents, max(map(len, ids), default=1)
+        ids, weights**sharpness, byte_ids, contents, max(map(len, ids), default=1), Trie(ids)
     )
 
 
@@ -93,7 +96,7 @@ def draws(keys: np.ndarray, units: np.ndarray, step: int) -> np.ndarray:
 
 
 def unit_edges(unit: str, vocabulary: Vocabulary) -> list[tuple[int, int, int]]:
-    """``(end, start, id)`` of the lattice; id -1 is one character in bytes."""
+    """``(end, start, id)`` of one lattice, the plain way; id -1 is one character in bytes."""
     ids, size, edges = vocabulary.ids, len(unit), []
     for start in range(size):
         edges.append((start + 1, start, -1))
@@ -104,11 +107,76 @@ def unit_edges(unit: str, vocabulary: Vocabulary) -> list[tuple[int, int, int]]:
     return edges
 
 
+class Trie:
+    """The pieces as a trie in one open hash table, walked for many places at once."""
+
+    def __init__(self, ids: dict[str, int]):
+        children, piece_at = {}, [-1]
+        for piece, number in ids.items():
+            node = 0
+            for letter in piece:
+                key = node << 21 | ord(letter)
+                node = children.setdefault(key, len(piece_at))
+                if node == len(piece_at):
+                    piece_at.append(-1)
+            piece_at[node] = number
+        self.piece_at = np.array(piece_at, np.int32)
+        self.bits = max(4, (4 * len(children)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.child = np.zeros(1 << self.bits, np.int32)
+        keys = np.fromiter(children.keys(), np.int64, len(children))
+        nodes = np.fromiter(children.values(), np.int32, len(children))
+        for key, slot, node in zip(
+            keys.tolist(), self.slots(keys).tolist(), nodes.tolist(), strict=True
+        ):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & ((1 << self.bits) - 1)
+            self.keys[slot], self.child[slot] = key, node
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _STEP) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The child of each node by a character, 0 where there is none."""
+        keys = nodes.astype(np.int64) << 21 | codes
+        slot = self.slots(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.child[slot], 0)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[slot[open_]]
+            same = held == keys[open_]
+            out[open_[same]] = self.child[slot[open_[same]]]
+            open_ = open_[~same & (held >= 0)]
+        return out
+
+
+def piece_edges(codes: np.ndarray, stop: np.ndarray, trie: Trie):
+    """``starts, ids`` of the pieces of each length, from 1 on, in the joined units.
+
+    ``stop``: where the unit of each character ends; no piece goes beyond it.
+    """
+    found = []
+    starts, nodes = np.arange(len(codes)), np.zeros(len(codes), np.int32)
+    length = 0
+    while len(starts):
+        nodes = trie.step(nodes, codes[starts + length])
+        starts, nodes = starts[nodes > 0], nodes[nodes > 0]
+        length += 1
+        ids = trie.piece_at[nodes]
+        found.append((starts[ids >= 0], ids[ids >= 0]))
+        inside = starts + length < stop[starts]
+        starts, nodes = starts[inside], nodes[inside]
+    return found
+
+
 class Lattices:
     """Filtered lattices of the units seen by a task, in one set of flat arrays."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.logs = np.log(vocabulary.weights)
         self.clear()
 
     def clear(self):
@@ -119,51 +187,67 @@ class Lattices:
         self.piece = np.empty(0, np.int32)      # by edge: id, or -1 - code point
 
     def add(self, units: list[str]) -> None:
-        """Forward filtering of new units, all together, place by place."""
+        """Forward filtering of new units, all together, place by place.
+
+        Edges are laid out by the node they end in, longest first; every sum is taken
+        within a node, so a unit's numbers do not depend on its company.
+        """
         sizes = np.array([len(u) for u in units])
-        base = np.cumsum(sizes + 1) - (sizes + 1)
-        owner, end, start, piece = [], [], [], []
-        for i, unit in enumerate(units):
-            for e, s, p in unit_edges(unit, self.vocabulary):
-                owner.append(i)
-                end.append(e)
-                start.append(s)
-                piece.append(p if p >= 0 else -1 - ord(unit[s]))
-        owner, end = np.array(owner), np.array(end)
-        start, piece = np.array(start), np.array(piece)
-        logs = np.log(self.vocabulary.weights)
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        owner = np.repeat(np.arange(len(units)), sizes)
+        found = piece_edges(codes, np.cumsum(sizes)[owner], self.vocabulary.trie)
+        # a unit has a node before its first character and one after each character
+        node_at = np.arange(len(codes)) + owner
+        counts = np.zeros(len(codes) + len(units), np.int64)
+        counts[node_at + 1] = 1
+        for length, (starts, _) in enumerate(found, 1):
+            counts[node_at[starts] + length] += 1
+        first = np.cumsum(counts) - counts
+        start, piece = (np.empty(int(counts.sum()), np.int32) for _ in range(2))
+        free = first.copy()
+
+        def place_edges(starts, length, ids):
+            ends = node_at[starts] + length
+            at = free[ends]
+            start[at], piece[at] = node_at[starts], ids
+            free[ends] = at + 1
+
+        for length in range(len(found), 1, -1):
+            place_edges(found[length - 1][0], length, found[length - 1][1])
+        place_edges(np.arange(len(codes)), 1, -1 - codes)
+        if found:
+            place_edges(found[0][0], 1, found[0][1])
+
+        logs = self.logs
         points = -1 - piece
         n_bytes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         weight = np.where(
             piece >= 0, logs[np.maximum(piece, 0)], n_bytes * logs[self.vocabulary.byte_ids[0]]
         )
-        order = np.lexsort((start, owner, end))
-        at = np.searchsorted(end[order], np.arange(1, sizes.max() + 2))
-        alpha = np.zeros(int((sizes + 1).sum()))     # logarithms, as in long units
-        share = np.empty(len(end))                   # of an edge at the node it ends in
+        base = np.cumsum(sizes + 1) - (sizes + 1)
+        by_size = np.argsort(-sizes, kind="stable")
+        at_least = np.searchsorted(-sizes[by_size], -np.arange(sizes.max() + 1), side="right")
+        alpha = np.zeros(len(counts))                # logarithms, as in long units
+        share = np.empty(len(start))                 # of an edge at the node it ends in
         for place in range(1, sizes.max() + 1):
-            here = order[at[place - 1] : at[place]]
-            whose = owner[here]
-            flow = alpha[base[whose] + start[here]] + weight[here]
-            groups = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
-            widths = np.diff(np.append(groups, len(here)))
+            nodes = base[by_size[: at_least[place]]] + place
+            widths = counts[nodes]
+            here = ranges(first[nodes], widths)
+            flow = alpha[start[here]] + weight[here]
+            groups = np.cumsum(widths) - widths
             top = np.maximum.reduceat(flow, groups)
             part = np.exp(flow - np.repeat(top, widths))
             total = np.add.reduceat(part, groups)
-            alpha[base[whose[groups]] + place] = top + np.log(total)
+            alpha[nodes] = top + np.log(total)
             share[here] = part / np.repeat(total, widths)
-        order = np.lexsort((start, end, owner))
-        node = base[owner[order]] + end[order]
-        running = np.cumsum(share[order])
-        counts = np.bincount(node, minlength=len(alpha))
-        first = np.cumsum(counts) - counts
-        before = np.concatenate([[0.0], running])[first]
+        nodes = np.flatnonzero(counts > 1)
+        for place in range(1, int(counts.max())):
+            nodes = nodes[counts[nodes] > place]
+            share[first[nodes] + place] += share[first[nodes] + place - 1]
         first_node, first_edge = len(self.edge_from) - 1, len(self.cut)
-        self.cut = np.concatenate([self.cut, running - before[node]])
-        self.start = np.concatenate(
-            [self.start, (base[owner[order]] + start[order] + first_node).astype(np.int32)]
-        )
-        self.piece = np.concatenate([self.piece, piece[order].astype(np.int32)])
+        self.cut = np.concatenate([self.cut, share])
+        self.start = np.concatenate([self.start, start + np.int32(first_node)])
+        self.piece = np.concatenate([self.piece, piece])
         self.edge_from = np.concatenate(
             [self.edge_from[:-1], first + first_edge, [first_edge + len(share)]]
         )
