@@ -35,30 +35,41 @@ def throttle_stream(
     checkpoint: str,
     limits: Limits = Limits(),
     blocks: int = 64,
+    order_cols: tuple[str, ...] = ("ts",),
+    late_folder: str | None = None,
 ) -> StreamingQuery:
     """Write ``throttled`` for a stream of readings; one state per host.
 
-    Hysteresis depends on order: readings not later than the last one processed
-    of their host are late, and dropped.  Results go to
-    ``output_folder/batch=<n>``.
+    Results go to ``output_folder/batch=<n>``.  Hysteresis depends on order, so a
+    reading before the last one processed of its host can no longer take part; it
+    is kept as it came in ``late_folder/batch=<n>`` (``<output_folder>-late`` unless
+    named).  A reading at the same time as the last one follows it.  Within a
+    micro-batch ``order_cols`` decide; name a unique column after the time where
+    times may be equal.
     """
+    late_folder = late_folder or output_folder.rstrip("/") + "-late"
+    time_col = order_cols[0]
     host_type = readings.schema["host"].dataType.simpleString()
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _states(spark, state_folder, batch_id, host_type)
-        fresh = (
-            batch.join(before.select("host", "seen_until"), "host", "left")
-            .filter(F.col("seen_until").isNull() | (F.col("ts") > F.col("seen_until")))
-            .select(*batch.columns)
+        placed = batch.join(before.select("host", "seen_until"), "host", "left")
+        late = F.coalesce(F.col(time_col) < F.col("seen_until"), F.lit(False))
+        placed.filter(late).select(*batch.columns).write.mode("overwrite").parquet(
+            f"{late_folder}/batch={batch_id}"
         )
-        done = throttle_state(fresh, limits, blocks=blocks, initial=before)
+        fresh = placed.filter(~late).select(*batch.columns)
+        done = throttle_state(fresh, limits, order_cols, blocks=blocks, initial=before)
         out = f"{output_folder}/batch={batch_id}"
         done.write.mode("overwrite").parquet(out)
         last = (
             spark.read.schema(done.schema).parquet(out)
             .groupBy("host")
-            .agg(F.max_by("throttled", "ts").alias("throttled"), F.max("ts").alias("seen_until"))
+            .agg(
+                F.max_by("throttled", F.struct(*order_cols)).alias("throttled"),
+                F.max(time_col).alias("seen_until"),
+            )
         )
         carried = before.join(last.select("host"), "host", "left_anti").unionByName(last)
         carried.write.mode("overwrite").parquet(f"{state_folder}/batch={batch_id}")

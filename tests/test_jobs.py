@@ -170,6 +170,30 @@ def test_throttle_stream_equals_batch(spark, tmp_path):
     ).awaitTermination()
     after = spark.read.parquet(str(tmp_path / "out")).select("host", "ts", "throttled")
     assert after.count() == got.count()
+    kept = spark.read.parquet(str(tmp_path / "out-late")).select("host", "ts", "cpu_percent")
+    assert kept.collect() == late.select("host", "ts", "cpu_percent").collect()
+
+
+def test_throttle_stream_keeps_equal_times(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    whole = None
+    for n, cpus in enumerate([[50, 81], [60, 90], [70]]):
+        # each batch starts at the time at which the one before ended
+        part = readings(spark, cpus, start=n).withColumn("id", F.col("cpu_percent").cast("int") + 1000 * n)
+        whole = part if whole is None else whole.unionByName(part)
+        part.coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+        name = next(p for p in (tmp_path / f"part{n}").iterdir() if p.suffix == ".parquet")
+        shutil.copy(name, source / f"{n}.parquet")
+        stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+        throttle_stream(
+            stream, str(tmp_path / "state"), str(tmp_path / "out"), str(tmp_path / "check"),
+            order_cols=("ts", "id"),
+        ).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("id", "throttled")
+    want = telemetry.throttle_state(whole, order_cols=("ts", "id")).select("id", "throttled")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 5
 
 
 def test_benchmark_over_first_sources(spark):
