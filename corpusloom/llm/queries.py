@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import curves, jaccard, langid, merkle, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
+from corpusloom.llm import alignment, curves, jaccard, langid, merkle, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
 from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,14 @@ def op13_merkle_manifest(spark, folder):
         keep_copies=False,
     )
     return manifest.drop("changed", "copied")
+
+
+def byte_tokenizer():
+    """The file of the byte-level tokenizer; its place is a parameter of the environment."""
+    return os.environ.get("BYTE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+@query
+def op11_token_alignment(spark, folder):
+    docs = table(spark, folder, "documents")
+    return alignment.alignment_digest(docs, byte_tokenizer(), piece_model()).drop("n_overlaps")
