@@ -22,9 +22,11 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,39 @@ class Side:
         self.marked = [np.array([f"{i}{m}" for i in range(len(pieces))], object) for m in ",|;"]
 
 
+# Fixed value: how a byte-level vocabulary of this kind cuts a text into words.
+WORDS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+# Characters outside of these ranges may be classed differently by the tables of
+# the tokenizer and of the regex library (which may be of another Unicode version);
+# a text that has one goes through the tokenizer as a whole.
+UNSURE = regex.compile(
+    "[^\u0000-\u0557\u0590-\u088e\u0890-\u0c5b\u0ce0-\u208e\u20a0-\ua7cd\uab70-\uffff"
+    "\U0001f300-\U0001faff]"
+)
+WORD_CHARS = 40                 # longest word that is remembered
+WORD_CACHE = 500_000
+
+
+class WordIds(dict):
+    """Ids of words, made on first use."""
+
+    def __init__(self, model):
+        self.model = model
+        names = {byte: letter for letter, byte in byte_alphabet().items()}
+        self.letters = [names[b] for b in range(256)]
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        letters = "".join([self.letters[b] for b in word.encode("utf-8")])
+        ids = tuple(token.id for token in self.model.tokenize(letters))
+        if len(word) <= WORD_CHARS:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class ByteLevel(Side):
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -69,17 +104,41 @@ class ByteLevel(Side):
         self.tokenizer.encode_special_tokens = True
         letters = byte_alphabet()
         words = self.tokenizer.get_vocab(with_added_tokens=True)
-        added = {t["content"] for t in json.loads(data).get("added_tokens", [])}
+        config = json.loads(data)
+        added = {t["content"] for t in config.get("added_tokens", [])}
         pieces = [b""] * (max(words.values()) + 1)
         for word, number in words.items():
             pieces[number] = (
                 word.encode("utf-8") if word in added else bytes(letters[c] for c in word)
             )
         super().__init__(pieces)
+        # words can be encoded one by one, and remembered, if nothing else shapes them
+        cut = config.get("pre_tokenizer") or {}
+        plain = (
+            config.get("normalizer") is None
+            and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True)
+            and not cut.get("add_prefix_space", True)
+            and config["model"].get("type") == "BPE"
+            and not config["model"].get("dropout")
+            and all(t["special"] for t in config.get("added_tokens", []))
+        )
+        self.words = WordIds(self.tokenizer.model) if plain else None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [f.ids for f in found]
+        out: list[list[int] | None] = [None] * len(texts)
+        if self.words is not None:
+            ids = self.words.__getitem__
+            for i, text in enumerate(texts):
+                if not UNSURE.search(text):
+                    out[i] = list(chain.from_iterable(map(ids, WORDS.findall(" " + text))))
+        whole = [i for i, found in enumerate(out) if found is None]
+        made = self.tokenizer.encode_batch_fast(
+            [" " + texts[i] for i in whole], add_special_tokens=False
+        )
+        for i, found in zip(whole, made, strict=True):
+            out[i] = found.ids
+        return out
 
 
 class Pieces(Side):
@@ -111,7 +170,7 @@ def encoded(texts: list[str | None], a: Side, b: Side):
     for i, text in enumerate(texts):
         raw = b" " + (text or "").encode("utf-8")
         same = bool(text) and all(
-            b"".join([side.pieces[x] for x in found[i]]) == raw
+            b"".join(map(side.pieces.__getitem__, found[i])) == raw
             for side, found in zip((a, b), ids, strict=True)
         )
         if not same:
@@ -119,7 +178,7 @@ def encoded(texts: list[str | None], a: Side, b: Side):
     out = []
     for found in ids:
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((x for one in found for x in one), np.int64, int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
         out += [flat, counts]
     return out
 
@@ -184,6 +243,7 @@ def align_stretch(doc_ids: pa.Array, texts: list[str | None], a: Side, b: Side)
     else:
         text, pairs, pair_counts = np.empty(0, object), np.empty(0, np.int64), np.empty(0, np.int64)
         n_groups = n_overlaps = n_pairs = np.zeros(n, np.int64)
+    text = text.tolist()
     ends = np.cumsum(a_counts + b_counts)
     groups = [
         "".join(text[end - size : end])[:-1]

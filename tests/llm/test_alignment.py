@@ -113,3 +113,20 @@ def test_groups_and_overlaps(sizes, data):
         if max(x - sizes[i], y - other[j]) < min(x, y)
     ]
     assert list(zip(over_a.tolist(), over_b.tolist())) == want
+
+
+def test_words_one_by_one():
+    import random
+
+    side = alignment.ByteLevel(alignment.read_bytes(A))
+    assert side.words is not None
+    chance = random.Random(3)
+    chars = [c for c in map(chr, range(0, 0x1FB00, 7)) if not "\ud800" <= c <= "\udfff"]
+    chars += list(" \t\n\r\x0b\x0c\x1c\x85\xa0'sdm.,!09aZ") * 300
+    texts = ["".join(chance.choices(chars, k=chance.randrange(60))) for _ in range(4000)]
+    sure = [c for c in chars if not alignment.UNSURE.search(c)]
+    texts += ["".join(chance.choices(sure, k=chance.randrange(60))) for _ in range(4000)]
+    texts += [" " * 3000 + "x", "\n" * 3000, "a" * 30_000, "don't we'll 'S  \n x", "Ж" * 3000]
+    assert any(not alignment.UNSURE.search(t) for t in texts)
+    known = [side.tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert side.encode(texts) == known
