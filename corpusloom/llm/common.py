@@ -69,7 +69,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    frame.staged_at = path
+    return frame
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for frame in frames:
+        drop_folder(frame.sparkSession, frame.staged_at)
 
 
 LOOKUP_ROWS = 200_000
@@ -96,3 +104,24 @@ def left_lookup(
         (F.col(big_key) == F.col(small_key)) & (F.col("_salt_b") == F.col("_salt_s")),
         "left",
     ).drop("_salt_b", "_salt_s")
+
+
+HOT_KEYS = 10_000
+
+
+def share_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, weight: str) -> DataFrame:
+    """Inner join with unique keys whose numbers of rows in ``big`` are known.
+
+    Keys with at least one in ``HOT_KEYS`` of all rows are broadcast; by that share
+    there are at most ``HOT_KEYS`` of them.  The others are shuffled, and none of
+    them holds many rows.  Both tables are read twice and should be staged.
+    """
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_KEYS >= F.lit(total)
+    often = F.broadcast(small.filter(hot))
+    near = big.join(often, F.col(big_key) == F.col(small_key))
+    rest = big.join(
+        F.broadcast(small.filter(hot).select(F.col(small_key).alias("_hot"))),
+        F.col(big_key) == F.col("_hot"), "left_anti",
+    )
+    return near.unionByName(rest.join(small.filter(~hot), F.col(big_key) == F.col(small_key)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import left_lookup, staged
+from corpusloom.llm.common import discard, left_lookup, staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -33,35 +33,40 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "pointers",
         )
         while True:
+            before = point
             onward = point.select(F.col("node").alias("via"), F.col("root").alias("next"))
             point = staged(
-                left_lookup(point, onward, "root", "via", "node").select(
+                left_lookup(before, onward, "root", "via", "node").select(
                     "node",
                     F.col("next").alias("root"),
                     (F.col("next") != F.col("root")).alias("moved"),
                 ),
                 "pointers",
             )
+            discard(before)
             if point.filter("moved").limit(1).count() == 0:
                 break
-        point = point.select("node", "root")
         known = point.select(F.col("node").alias("key"), F.col("root").alias("next"))
         if ends is None:
-            ends = point
+            ends = staged(point.select("node", "root"), "roots")
         else:
+            earlier = ends
             ends = staged(
-                left_lookup(ends, known, "root", "key", "node").select(
+                left_lookup(earlier, known, "root", "key", "node").select(
                     "node", F.coalesce("next", "root").alias("root")
                 ),
                 "roots",
             )
+            discard(earlier)
         moved = left_lookup(left, known, "a", "key", "b").select(F.col("next").alias("a"), "b")
         moved = left_lookup(moved, known, "b", "key", "a").select("a", F.col("next").alias("b"))
+        older = left
         left = staged(
             moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .filter("a < b")
             .distinct(),
             "edges",
         )
+        discard(older, point)
         if left.limit(1).count() == 0:
             return ends

@@ -3,18 +3,17 @@
 Documents are sets of hashed word shingles; two link when their Jaccard
 similarity reaches the threshold.  The result is each document's component.
 
-1. Routing.  The sets of a size level are dealt into m parts by token hash.  A
-   pair that links differs in at most D tokens, so at least m - D parts agree;
-   each set sends its D + 1 heaviest parts as keys, and two such sets must share
-   one (prefix filtering on parts).  No link is lost.  Keys meet packed in
-   buckets; a task sends a key once and keeps its own members as edges.
-2. Route components: sets joined by keys.  Every link lies within one.
-3. A signature tree over each component.  Nodes hold the OR of their token
-   bitmaps, a range of sizes and the largest number of tokens their bitmaps hide.
-   A dual traversal drops node pairs that cannot reach the threshold and those
-   that are one component already; leaf pairs are compared token by token.
-4. Sets of components too large for a task are first compared with one or two sets
-   that their keys chose; then only blocks of sets that this left open meet others.
+1. Keys.  The sets of a size level are dealt into m parts by token hash.  A pair
+   that links differs in at most D tokens, so at least m - D parts agree; each set
+   sends its D + 1 heaviest parts as keys, and two such sets must share one
+   (prefix filtering on parts).  No link is lost.
+2. Comparisons.  Sets that share keys are united only by comparing their tokens
+   (``meeting``).
+3. Signature trees.  The members of a key's list that are not yet one component
+   stand in a tree whose nodes hold the OR of their token bitmaps, a range of sizes
+   and the largest number of tokens their bitmaps hide.  A dual traversal drops
+   node pairs that cannot reach the threshold, and those of one component; the
+   pairs of sets that are left are compared token by token.
 
 Equal sets are one set throughout, so copies cost one row per task.
 """
@@ -22,114 +21,18 @@ Equal sets are one set throughout, so copies cost one row per task.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusloom.llm.common import left_lookup, staged
-from corpusloom.llm.components import connected_components
-from corpusloom.llm.packing import LAST, groups_of, mixed, ranges
+from corpusloom.llm.meeting import BLOCK, BUCKET_BYTES, shingle_components
+from corpusloom.llm.packing import LAST, mixed, ranges
 
 WORDS = 3
 THRESHOLD = (90, 100)
 LEVEL_RATIO = 1.4
 LEAF = 8
 FANOUT = 8
-BLOCK = 4096                    # sets of a component, or of a block, that one task takes
-BUCKET_KEYS = 1_500_000
-FLUSH_KEYS = 2_000_000
-SEGMENT = 1_500_000
-SPREAD = 0x2545F4914F6CDD1D     # odd
-TOKEN_BYTES = 48_000_000        # of a component that one task takes
-
-FIRST_PASS = (
-    "kind int, doc_id long, n long, node long, bucket int, keys binary, a binary, b binary"
-)
-
-
-class Powers:
-    """Powers of an odd number modulo 2**64 and their inverses."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, size: int):
-        if len(self.up) < size:
-            size = max(size, 2 * len(self.up))
-            back = pow(SPREAD, -1, 1 << 64)
-            for name, base in (("up", SPREAD), ("down", back)):
-                factors = np.full(size, base, np.uint64)
-                factors[0] = 1
-                setattr(self, name, np.multiply.accumulate(factors))
-        return self.up, self.down
-
-
-POWERS = Powers()
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of lower-cased bytes, and where it begins."""
-    codes = np.frombuffer(data, np.uint8)
-    space = (codes == 32) | ((codes >= 9) & (codes <= 13))
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
-    begins, ends = edges[::2], edges[1::2]
-    up, down = POWERS.upto(len(codes) + 1)
-    sums = np.concatenate(
-        [[np.uint64(0)], np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)])]
-    )
-    raw = (sums[ends] - sums[begins]) * down[begins]
-    return mixed(raw + mixed((ends - begins).astype(np.uint64))), begins
-
-
-def token_sets(texts: list[str | None], words: int):
-    """``tokens, counts``: the sorted distinct shingle hashes of each text in a row."""
-    raws = [(t or "").encode("utf-8").lower() for t in texts]
-    hashes, owner, at = [], [], 0
-    while at < len(raws):
-        stop, size = at, 0
-        while stop < len(raws) and (size < SEGMENT or stop == at):
-            size += len(raws[stop]) + 1
-            stop += 1
-        found, begins = word_hashes(b"\n".join(raws[at:stop]))
-        limits = np.cumsum([len(r) + 1 for r in raws[at:stop]])
-        hashes.append(found)
-        owner.append(at + np.searchsorted(limits, begins, side="right"))
-        at = stop
-    if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    hashes, owner = np.concatenate(hashes), np.concatenate(owner)
-    counts = np.bincount(owner, minlength=len(texts))
-    chained = np.full(max(len(hashes) - words + 1, 0), words, np.uint64)
-    for k in range(words):
-        chained = mixed(chained * np.uint64(SPREAD) + hashes[k : k + len(chained)])
-    whole = owner[: len(chained)] == owner[words - 1 :]
-    tokens, whose = chained[whole], owner[: len(chained)][whole]
-    short = np.flatnonzero((counts > 0) & (counts < words))
-    if len(short):
-        begins = (np.cumsum(counts) - counts)[short]
-        chain = counts[short].astype(np.uint64)
-        for k in range(words - 1):
-            more = counts[short] > k
-            chain[more] = mixed(chain[more] * np.uint64(SPREAD) + hashes[begins[more] + k])
-        tokens, whose = np.concatenate([tokens, chain]), np.concatenate([whose, short])
-    order = np.lexsort((tokens, whose))
-    tokens, whose = tokens[order], whose[order]
-    new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (whose[1:] != whose[:-1])
-    tokens, whose = tokens[new], whose[new]
-    return tokens, np.bincount(whose, minlength=len(texts))
-
-
-def node_ids(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """64-bit id of each set; empty sets have id 0."""
-    ids = np.zeros(len(counts), np.uint64)
-    some = counts > 0
-    if some.any():
-        begins = (np.cumsum(counts) - counts)[some]
-        sums = np.add.reduceat(mixed(tokens), begins)
-        ids[some] = mixed(sums + mixed(counts[some].astype(np.uint64)))
-    return ids.view(np.int64)
 
 
 def size_levels(limit: int) -> np.ndarray:
@@ -179,164 +82,55 @@ def route_keys(tokens, counts, threshold) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def first_pass(docs: DataFrame, words: int, threshold, buckets: int) -> DataFrame:
-    """Rows of kind 0: ``doc_id, n, node``; 1: packed keys of a bucket; 2: packed edges."""
-    schema = pa.schema(
-        [("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
-         ("bucket", pa.int32())] + [(c, pa.binary()) for c in ("keys", "a", "b")]
-    )
+def bitmap_width(size: int) -> int:
+    width = 64
+    while width < 2 * size:
+        width *= 2
+    return width
 
-    def table(rows):
-        return pa.Table.from_arrays(
-            [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema
-        ).to_batches()
-
-    def scan(batches):
-        seen, held, total = set(), [], 0
-
-        def flush():
-            keys, nodes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            order = np.lexsort((nodes, keys))
-            keys, nodes = keys[order], nodes[order]
-            begins, sizes = groups_of(keys)
-            # one set speaks for a key; the task's other sets hang on it
-            rows = []
-            inner = np.ones(len(keys), bool)
-            inner[begins] = False
-            if inner.any():
-                rows.append(
-                    (2, None, None, None, None, keys[inner].tobytes(),
-                     np.repeat(nodes[begins], sizes)[inner].tobytes(), nodes[inner].tobytes())
-                )
-            keys, nodes = keys[begins], nodes[begins]
-            bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            for begin, size in zip(*groups_of(bucket), strict=True):
-                here = slice(begin, begin + size)
-                rows.append(
-                    (1, None, None, None, int(bucket[begin]), keys[here].tobytes(),
-                     nodes[here].tobytes(), None)
-                )
-            return rows
-
-        for batch in batches:
-            doc_ids = batch.column("doc_id").to_numpy()
-            texts = batch.column("text").to_pylist()
-            begin = 0
-            while begin < len(texts):
-                stop, size = begin, 0
-                while stop < len(texts) and (size < SEGMENT or stop == begin):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                tokens, counts = token_sets(texts[begin:stop], words)
-                nodes = node_ids(tokens, counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(counts), np.int32)), pa.array(doc_ids[begin:stop]),
-                     pa.array(counts), pa.array(nodes)]
-                    + [pa.nulls(len(counts), f.type) for f in list(schema)[4:]],
-                    schema=schema,
-                )
-                new = np.array(
-                    [c > 0 and x not in seen and not seen.add(x)
-                     for c, x in zip(counts.tolist(), nodes.tolist(), strict=True)], bool
-                )
-                keys, owner = route_keys(
-                    tokens[np.repeat(new, counts)], np.where(new, counts, 0), threshold
-                )
-                held.append((keys, nodes[owner]))
-                total += len(keys)
-                if total > FLUSH_KEYS:
-                    yield from table(flush())
-                    held, total, seen = [], 0, set()
-                begin = stop
-        if total:
-            yield from table(flush())
-
-    return docs.select("doc_id", "text").mapInArrow(scan, FIRST_PASS)
-
-
-def route_edges(packed: DataFrame) -> DataFrame:
-    """``a, b``: sets that share a key, every other one with the key's smallest."""
-
-    def local(batches):
-        for batch in batches:
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                pairs = np.unique(
-                    np.stack([np.frombuffer(x.as_py(), np.int64) for x in (a, b)], axis=1), axis=0
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"]
-                )
 
-    def meet(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(k.as_py(), np.uint64) for k in table.column("keys")])
-        nodes = np.concatenate([np.frombuffer(k.as_py(), np.int64) for k in table.column("a")])
-        order = np.lexsort((nodes, keys))
-        keys, nodes = keys[order], nodes[order]
-        begins, sizes = groups_of(keys)
-        pairs = np.stack([np.repeat(nodes[begins], sizes), nodes], axis=1)
-        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
-
-    inner = packed.filter("kind = 2").select("a", "b").mapInArrow(local, "a long, b long")
-    outer = (
-        packed.filter("kind = 1").select("bucket", "keys", "a").groupBy("bucket")
-        .applyInArrow(meet, "a long, b long")
-    )
-    return inner.unionByName(outer).filter("a <> b").distinct()
+def bitmap_sketch(tokens: np.ndarray) -> bytes:
+    """The set's size and a bitmap of its tokens, at least two bits a token."""
+    width = bitmap_width(len(tokens))
+    flags = np.zeros(width, np.uint8)
+    flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
+    return len(tokens).to_bytes(8, "little") + np.packbits(flags, bitorder="little").tobytes()
+
+
+def folded(bits: int, width: int, to: int) -> int:
+    """A bitmap of fewer bits: what the tokens would have set in that one."""
+    while width > to:
+        width //= 2
+        bits = (bits & ((1 << width) - 1)) | (bits >> width)
+    return bits
 
 
 class Node:
     """A node of a signature tree: what its sets have at most."""
 
-    __slots__ = ("bits", "low", "high", "hidden", "children", "sets", "one")
+    __slots__ = ("bits", "low", "high", "hidden", "children", "sets", "root")
 
     def __init__(self, children, sets, bits, low, high, hidden):
         self.children, self.sets, self.bits = children, sets, bits
         self.low, self.high, self.hidden = low, high, hidden
-        self.one = False                # all sets are known to be one component
-
+        self.root = None                # the component, if all sets are of one
 
-class Forest:
-    """Union-find over the sets of a task."""
 
-    def __init__(self, labels):
-        first = {}
-        self.up = [first.setdefault(label, i) for i, label in enumerate(labels)]
+class SignatureTree:
+    """Signature trees over sketches, and their dual traversal."""
 
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.find(i), self.find(j)
-        self.up[max(i, j)] = min(i, j)
-
-
-class SignatureJoin:
-    """Signature trees over some sets, and their dual traversal."""
-
-    def __init__(self, sets: list[np.ndarray], labels, threshold):
-        self.sets, self.threshold = sets, threshold
-        self.forest = Forest(labels)
-        self.sizes = [len(s) for s in sets]
-        width = 64
-        while width < 2 * max(self.sizes, default=1):
-            width *= 2
-        self.bits = [self.bitmap(s, width) for s in sets]
-        self.counts = [b.bit_count() for b in self.bits]
-        self.links: list[tuple[int, int]] = []
-
-    @staticmethod
-    def bitmap(tokens: np.ndarray, width: int) -> int:
-        flags = np.zeros(width, np.uint8)
-        flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
-        return int.from_bytes(np.packbits(flags).tobytes(), "big")
+    def __init__(self, sketches: list[bytes], roots: list, threshold: tuple[int, int]):
+        self.roots, self.threshold = roots, threshold
+        self.sizes = [int.from_bytes(s[:8], "little") for s in sketches]
+        narrow = min((8 * (len(s) - 8) for s in sketches), default=64)
+        self.bits = [
+            folded(int.from_bytes(s[8:], "little"), 8 * (len(s) - 8), narrow) for s in sketches
+        ]
+        self.hidden = [n - b.bit_count() for n, b in zip(self.sizes, self.bits, strict=True)]
 
     def tree(self, members: list[int]) -> Node:
         """Sets in the order of component and size, so that nodes have short ranges."""
-        members = sorted(members, key=lambda i: (self.forest.find(i), self.sizes[i], i))
+        members = sorted(members, key=lambda i: (self.roots[i], self.sizes[i], i))
         nodes = [self.leaf(members[i : i + LEAF]) for i in range(0, len(members), LEAF)]
         while len(nodes) > 1:
             nodes = [self.inner(nodes[i : i + FANOUT]) for i in range(0, len(nodes), FANOUT)]
@@ -347,17 +141,22 @@ class SignatureJoin:
         for i in members:
             bits |= self.bits[i]
         sizes = [self.sizes[i] for i in members]
-        hidden = max(self.sizes[i] - self.counts[i] for i in members)
-        return Node([], members, bits, min(sizes), max(sizes), hidden)
+        node = Node([], members, bits, min(sizes), max(sizes), max(self.hidden[i] for i in members))
+        roots = {self.roots[i] for i in members}
+        node.root = roots.pop() if len(roots) == 1 else None
+        return node
 
     def inner(self, children: list[Node]) -> Node:
         bits = 0
         for c in children:
             bits |= c.bits
-        return Node(
+        node = Node(
             children, [], bits, min(c.low for c in children), max(c.high for c in children),
             max(c.hidden for c in children),
         )
+        roots = {c.root for c in children}
+        node.root = roots.pop() if len(roots) == 1 else None
+        return node
 
     def possible(self, a: Node, b: Node) -> bool:
         """Whether any set under ``a`` may link with any under ``b``."""
@@ -368,35 +167,15 @@ class SignatureJoin:
         most = min(a.hidden + shared, b.hidden + shared, a.high, b.high)
         return (num + den) * most >= num * (a.low + b.low)
 
-    def root(self, node: Node):
-        """The component of all sets below, or None."""
-        if node.one:
-            return self.forest.find(self.some(node))
-        if node.children:
-            roots = {self.root(c) for c in node.children}
-        else:
-            roots = {self.forest.find(i) for i in node.sets}
-        if len(roots) == 1 and None not in roots:
-            node.one = True
-            return roots.pop()
-        return None
-
-    def some(self, node: Node) -> int:
-        while node.children:
-            node = node.children[0]
-        return node.sets[0]
-
-    def traverse(self, left: Node, right: Node) -> None:
+    def traverse(self, left: Node, right: Node):
+        """Pairs of sets of different components that may link."""
         stack = [(left, right)]
         while stack:
             a, b = stack.pop()
-            if not self.possible(a, b):
-                continue
-            root = self.root(a)
-            if root is not None and root == self.root(b):
+            if (a.root is not None and a.root == b.root) or not self.possible(a, b):
                 continue
             if not a.children and not b.children:
-                self.compare(a, b)
+                yield from self.pairs(a, b)
             elif a is b:
                 c = a.children
                 stack += [(c[i], c[j]) for i in range(len(c)) for j in range(i, len(c))]
@@ -405,81 +184,35 @@ class SignatureJoin:
             else:
                 stack += [(a, c) for c in b.children]
 
-    def compare(self, a: Node, b: Node) -> None:
+    def pairs(self, a: Node, b: Node):
         num, den = self.threshold
         for x, i in enumerate(a.sets):
             for j in a.sets[x + 1 :] if a is b else b.sets:
-                if self.forest.find(i) == self.forest.find(j):
+                if self.roots[i] == self.roots[j]:
                     continue
-                total = self.sizes[i] + self.sizes[j]
                 shared = (self.bits[i] & self.bits[j]).bit_count()
-                most = shared + min(
-                    self.sizes[i] - self.counts[i], self.sizes[j] - self.counts[j]
+                most = min(
+                    shared + min(self.hidden[i], self.hidden[j]), self.sizes[i], self.sizes[j]
                 )
-                if (num + den) * most < num * total:
-                    continue
-                common = common_tokens(self.sets[i], self.sets[j])
-                if den * common >= num * (total - common):
-                    self.forest.join(i, j)
-                    self.links.append((i, j))
-
-
-def common_tokens(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
-
-
-def join_sets(nodes, contents, labels, threshold, sides=None) -> list[tuple[int, int]]:
-    """Links found among the sets; ``sides`` (0 or 1) restricts them to across."""
-    work = SignatureJoin([np.frombuffer(c, np.uint64) for c in contents], labels, threshold)
-    if sides is None:
-        tree = work.tree(list(range(len(nodes))))
-        work.traverse(tree, tree)
-    else:
+                if (num + den) * most >= num * (self.sizes[i] + self.sizes[j]):
+                    yield i, j
+
+
+def tree_search(threshold: tuple[int, int]):
+    """The search of a list's sketches; ``sides`` (0 or 1) restricts it to across."""
+
+    def search(sketches: list[bytes], roots: list, sides: list[int] | None):
+        work = SignatureTree(sketches, roots, threshold)
+        if sides is None:
+            whole = work.tree(list(range(len(sketches))))
+            return list(work.traverse(whole, whole))
         left = [i for i, s in enumerate(sides) if s == 0]
         right = [i for i, s in enumerate(sides) if s == 1]
-        if left and right:
-            work.traverse(work.tree(left), work.tree(right))
-    return [(nodes[i], nodes[j]) for i, j in work.links]
-
-
-def needed_sets(docs: DataFrame, wanted: DataFrame, first_docs: DataFrame, words: int) -> DataFrame:
-    """``node, n, tokens`` (bytes) of the wanted nodes, made again from their texts."""
-    ids = staged(
-        left_lookup(first_docs, wanted.select(F.col("node").alias("wanted")), "node", "wanted", "doc_id")
-        .filter("wanted is not null")
-        .select(F.col("doc_id").alias("first_id")),
-        "wanted_docs",
-    ).distinct()
-    texts = left_lookup(docs, staged(ids, "wanted_ids"), "doc_id", "first_id", "doc_id").filter(
-        "first_id is not null"
-    )
-
-    def make(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            begin = 0
-            while begin < len(texts):
-                stop, size = begin, 0
-                while stop < len(texts) and (size < SEGMENT or stop == begin):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                tokens, counts = token_sets(texts[begin:stop], words)
-                ends = np.cumsum(counts)
-                contents = [
-                    tokens[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node_ids(tokens, counts)), pa.array(counts), pa.array(contents, pa.binary())],
-                    names=["node", "n", "tokens"],
-                )
-                begin = stop
+        if not left or not right:
+            return []
+        return list(work.traverse(work.tree(left), work.tree(right)))
 
-    made = texts.select("text").mapInArrow(make, "node long, n long, tokens binary")
-    return made.filter("n > 0")
+    return search
 
 
 def link_components(
@@ -489,6 +222,7 @@ def link_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     block: int = BLOCK,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row.
 
@@ -500,186 +234,35 @@ def link_components(
     has a null id.  Repeated rows are in one component.  An empty table gives no
     rows; other columns are not read.
     """
-    source = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"),
-    )
-    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    num, den = threshold
-    buckets = int(size * 0.4 * (den - num) / num // BUCKET_KEYS) + 1
-    packed = staged(first_pass(source, words, threshold, buckets), "keys")
-    rows = packed.filter("kind = 0").select("doc_id", "n", "node")
-    edges = staged(route_edges(packed), "routes")
-    if edges.limit(1).count() == 0:
-        labels = rows.sparkSession.createDataFrame([], "node long, root long")
-    else:
-        labels = staged(true_components(source, rows, edges, words, threshold, block), "labels")
-    named = left_lookup(
-        rows, labels.select(F.col("node").alias("known"), "root"), "node", "known", "doc_id"
-    ).withColumn("root", F.coalesce("root", "node"))
-    linked = named.filter("n > 0")
-    smallest = staged(
-        linked.groupBy("root").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("docs"))
-        .filter("docs > 1")
-        .select(F.col("root").alias("its_root"), "first_id"),
-        "smallest",
-    )
-    result = left_lookup(named, smallest, "root", "its_root", "doc_id")
-    component = F.when(F.col("n") > 0, F.coalesce("first_id", "doc_id")).otherwise(F.col("doc_id"))
-    return result.select(
-        F.nullif(F.col("doc_id"), F.lit(LAST)).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.nullif(component, F.lit(LAST)).alias("component_id"),
-    )
-
-
-def true_components(source, rows, edges, words, threshold, block) -> DataFrame:
-    """``node, root``: components of the links among sets that share keys."""
-    routes = staged(connected_components(edges), "route_components")
-    first_docs = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = staged(needed_sets(source, routes, first_docs, words).dropDuplicates(["node"]), "sets")
-    weights = staged(
-        left_lookup(
-            sets.select("node", "n"), routes.select(F.col("node").alias("of"), "root"),
-            "node", "of", "node",
-        ).groupBy("root").agg(F.count("*").alias("members"), (F.sum("n") * 8).alias("bytes"))
-        .select(
-            F.col("root").alias("its_root"),
-            ((F.col("members") > block) | (F.col("bytes") > TOKEN_BYTES)).alias("large"),
-        ),
-        "weights",
-    )
-    member = left_lookup(routes, weights, "root", "its_root", "node").select(
-        F.col("node").alias("of"), F.col("root").alias("comp"), "large"
-    )
-    member = staged(member, "members")
-    placed = sets.join(member, F.col("node") == F.col("of")).select("node", "tokens", "comp", "large")
-
-    def whole(table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_pylist()
-        found = join_sets(nodes, table.column("tokens").to_pylist(), nodes, threshold)
-        return pa.table(
-            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
-        )
-
-    small = placed.filter("not large").groupBy("comp").applyInArrow(whole, "a long, b long")
-    links = staged(small, "links")
-    if weights.filter("large").limit(1).count():
-        links = links.unionByName(
-            large_links(sets, member.filter("large"), edges, threshold, block)
-        )
-    return connected_components(links)
-
-
-def large_links(sets, member, edges, threshold, block) -> DataFrame:
-    """Links of the components that no single task takes."""
     num, den = threshold
-    tokens = sets.select(F.col("node").alias("key"), "tokens")
-    # of the sets that its keys chose, a set is compared with the first and the last
-    inside = (
-        edges.join(member.select(F.col("of").alias("a")), "a")
-        .groupBy("b")
-        .agg(F.array_distinct(F.array(F.min("a"), F.max("a"))).alias("firsts"))
-        .select("b", F.explode("firsts").alias("a"))
-    )
-    both = (
-        inside.join(tokens, F.col("b") == F.col("key")).drop("key").withColumnRenamed("tokens", "t_b")
-        .join(tokens, F.col("a") == F.col("key")).drop("key")
+    return shingle_components(
+        docs, words, threshold,
+        make_keys=lambda tokens, counts: route_keys(tokens, counts, threshold),
+        keys_a_byte=0.4 * (den - num) / num,
+        sketch=bitmap_sketch, search=tree_search(threshold),
+        id_col=id_col, text_col=text_col, block=block, bucket_bytes=bucket_bytes,
     )
 
-    def verify(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("tokens"), batch.column("t_b"), strict=True):
-                s, t = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                common = common_tokens(s, t)
-                keep.append(den * common >= num * (len(s) + len(t) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    starred = staged(
-        both.select("a", "b", "tokens", "t_b").mapInArrow(verify, "a long, b long"), "starred"
-    )
-    settled = staged(connected_components(starred), "settled")
-    labelled = left_lookup(
-        member.select("of", "comp"), settled.select(F.col("node").alias("known"), "root"),
-        "of", "known", "of",
-    ).withColumn("root", F.coalesce("root", "of"))
-    counts = labelled.groupBy("comp", "root").agg(F.count("*").alias("n"))
-    # the largest component of links stays put; all other sets are to be compared
-    main = staged(
-        counts.groupBy("comp").agg(
-            F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("n_main"),
-            F.sum("n").alias("n_all"),
-        ).select(F.col("comp").alias("its"), "main", "n_main", "n_all"),
-        "main",
-    )
-    dealt = left_lookup(labelled, main, "comp", "its", "of").filter("n_all > n_main").select(
-        "of", "comp", "root",
-        (F.col("root") == F.col("main")).alias("rest"),
-        F.ceil((F.col("n_all") - F.col("n_main")) / F.lit(block)).alias("open_blocks"),
-        F.ceil(F.col("n_main") / F.lit(block)).alias("main_blocks"),
-    )
-    number = F.pmod(
-        F.xxhash64("of"), F.when(F.col("rest"), F.col("main_blocks")).otherwise(F.col("open_blocks"))
-    )
-    dealt = staged(dealt.withColumn("block", number), "blocks")
-    # open block i meets open block j >= i, and every block of the rest
-    other = F.when(
-        F.col("rest"),
-        F.transform(
-            F.sequence(F.lit(0), F.col("open_blocks") - 1),
-            lambda i: F.struct(i.alias("i"), (F.col("open_blocks") + F.col("block")).alias("j"), F.lit(1).alias("side")),
-        ),
-    ).otherwise(
-        F.concat(
-            F.transform(
-                F.sequence(F.col("block"), F.col("open_blocks") + F.col("main_blocks") - 1),
-                lambda j: F.struct(F.col("block").alias("i"), j.alias("j"), F.lit(0).alias("side")),
-            ),
-            F.filter(
-                F.transform(
-                    F.sequence(F.lit(0), F.col("block")),
-                    lambda i: F.struct(i.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")),
-                ),
-                lambda s: s["i"] < s["j"],
-            ),
-        )
-    )
-    tasks = dealt.select("of", "comp", "root", F.explode(other).alias("t")).select(
-        "of", "comp", "root", "t.i", "t.j", "t.side"
-    )
-    loaded = tasks.join(tokens, F.col("of") == F.col("key")).drop("key")
-
-    def across(table: pa.Table) -> pa.Table:
-        nodes = table.column("of").to_pylist()
-        same = table.column("i")[0] == table.column("j")[0]
-        found = join_sets(
-            nodes, table.column("tokens").to_pylist(), table.column("root").to_pylist(), threshold,
-            None if same else table.column("side").to_pylist(),
-        )
-        return pa.table(
-            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
-        )
-
-    met = loaded.groupBy("comp", "i", "j").applyInArrow(across, "a long, b long")
-    return starred.unionByName(staged(met, "across"))
-
 
 def keep_one(docs: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
     """``docs (doc_id, text, ...)`` with one document of each component: the smallest id.
 
     Documents without words are in no group and stay, as do those with a null id
-    in groups of null ids only; of rows equal in id and text one stays.
+    in groups of null ids only; of rows equal in id and text one stays.  Other
+    columns pass through, whatever their names; an empty table stays empty.
     """
     linked = link_components(docs, words, threshold)
-    kept = linked.filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0)
-    ).select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")))
-    same = Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0))
-    return (
-        chosen.withColumn("_hash", F.xxhash64("text"))
-        .withColumn("_no", F.row_number().over(same))
-        .filter("_no = 1")
-        .select(*docs.columns)
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    kept = staged(
+        linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
+        .groupBy(ident.alias("kept_id")).agg(F.count("*").alias("copies")),
+        "kept",
+    )
+    rows = docs.select(
+        ident.alias("id"), F.xxhash64("text").alias("content"), F.struct("*").alias("document")
     )
+    chosen = left_lookup(rows, kept, "id", "kept_id", "id").filter("kept_id is not null")
+    # only rows with a repeated id need to meet
+    once = chosen.filter("copies = 1").select("document")
+    repeated = chosen.filter("copies > 1").dropDuplicates(["id", "content"]).select("document")
+    return once.unionByName(repeated).select("document.*")

@@ -129,15 +129,17 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
 FROM numbered LEFT JOIN listed USING (id)
 """
 
-SQL["op6_ngram_jaccard"] = r"""
+def _components(words, least, more=""):
+    """Components of documents whose sets of shingles are ``least`` percent similar."""
+    return rf"""
 WITH RECURSIVE split AS (
   SELECT doc_id, row_number() OVER () AS id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), tokens AS (
-  SELECT DISTINCT id, array_to_string(w[i:i + 2], chr(10)) AS token
-  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM split WHERE len(w) > 0)
+  SELECT DISTINCT id, array_to_string(w[i:i + {words - 1}], chr(10)) AS token
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM split WHERE len(w) > 0)
 ), sizes AS (
   SELECT id, count(*) AS n FROM tokens GROUP BY id
 ), sets AS (
@@ -151,7 +153,7 @@ WITH RECURSIVE split AS (
   FROM few a JOIN few b ON a.token = b.token AND a.id < b.id GROUP BY a.id, b.id
 ), links AS (
   SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b
-  WHERE 100 * common >= 90 * (x.n + y.n - common)
+  WHERE 100 * common >= {least} * (x.n + y.n - common)
 ), edges AS (
   SELECT a, b FROM links UNION SELECT b, a FROM links
   UNION SELECT s.id, c.id FROM sets s JOIN chosen c USING (kind)
@@ -161,7 +163,7 @@ WITH RECURSIVE split AS (
   UNION
   SELECT r.start, edges.b FROM reached r JOIN edges ON edges.a = r.id
 )
-SELECT s.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+SELECT s.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id{more}
 FROM split s LEFT JOIN sizes USING (id) JOIN (
   SELECT r.start AS id, min(t.doc_id) AS component_id
   FROM reached r JOIN split t ON t.id = r.id GROUP BY r.start
@@ -169,6 +171,10 @@ FROM split s LEFT JOIN sizes USING (id) JOIN (
 """
 
 
+SQL["op6_ngram_jaccard"] = _components(3, 90)
+SQL["op12_minhash_duplicates"] = _components(5, 85, ", s.doc_id = c.component_id AS kept")
+
+
 def _field(column):
     return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import alignment, curves, jaccard, langid, merkle, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
+from corpusloom.llm import alignment, collisions, curves, jaccard, langid, merkle, mixing, pieces, pii, quality_cnn, quality_rules, repeats, warc
 from corpusloom.llm.common import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,11 @@ def op10_nearest_neighbours(spark, folder):
     )
 
 
+@query
+def op12_minhash_duplicates(spark, folder):
+    return collisions.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark, folder):
     changed = F.col("doc_id").isNotNull() & (F.pmod(crc_of(F.col("doc_id")), F.lit(3)) == 0)

@@ -2,8 +2,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom.llm.jaccard import link_components
+from corpusloom.llm import meeting
+from corpusloom.llm.collisions import near_duplicates, occurring
+from corpusloom.llm.jaccard import keep_one, link_components
 
 
 def brute(rows, words, threshold):
@@ -40,11 +43,19 @@ def brute(rows, words, threshold):
     return [(d, n, None if c == last else c) for d, n, c in found]
 
 
-def check(spark, rows, words=3, threshold=(90, 100), block=512):
+JOINS = {"trees": link_components, "collisions": near_duplicates}
+
+
+def check(spark, rows, words=3, threshold=(90, 100), how="trees", **limits):
     frame = spark.createDataFrame(
         [(d, t, 1, "k") for d, t in rows], "doc_id long, text string, node int, keys string"
     )
-    got = link_components(frame, words, threshold, block=block)
+    for name in "n bucket key root a b slot size kept component_id".split():
+        frame = frame.withColumn(name, F.lit("mine"))
+    got = JOINS[how](frame, words, threshold, **limits)
+    if how == "collisions":
+        assert got.filter("kept <> (doc_id <=> component_id)").count() == 0
+        got = got.drop("kept")
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] is None, r[2] or 0)
     want = sorted(brute(rows, words, threshold), key=order)
@@ -66,13 +77,23 @@ def corpus(seed, n=120, copies=60):
     return [(i, " ".join(w)) for i, w in zip(ids, base, strict=True)]
 
 
-@pytest.mark.parametrize("words,threshold", [(3, (90, 100)), (5, (80, 100))])
-def test_against_brute_force(spark, words, threshold):
-    want = check(spark, corpus(words), words, threshold)
+@pytest.mark.parametrize(
+    "how,words,threshold",
+    [("trees", 3, (90, 100)), ("trees", 5, (80, 100)), ("collisions", 5, (85, 100)), ("collisions", 3, (80, 100))],
+)
+def test_against_brute_force(spark, how, words, threshold):
+    want = check(spark, corpus(words), words, threshold, how)
     assert sum(c != d for d, _, c in want) > 20
 
 
-def test_large_components_in_blocks(spark):
+@pytest.mark.parametrize("how", JOINS)
+def test_swollen_buckets_go_row_by_row(spark, how):
+    want = check(spark, corpus(7, 60, 40), 3, (85, 100), how, bucket_bytes=1, block=5)
+    assert sum(c != d for d, _, c in want) > 10
+
+
+@pytest.mark.parametrize("how", JOINS)
+def test_large_components_in_blocks(spark, how):
     rng = random.Random(8)
     base = [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randint(0, 99)) for _ in range(300)]
     rows = []
@@ -81,11 +102,76 @@ def test_large_components_in_blocks(spark):
         for _ in range(rng.choice([1, 2, 3, 9, 12])):
             words[rng.randrange(300)] = f"new{rng.randint(0, 9999)}"
         rows.append((i, " ".join(words)))
-    want = check(spark, rows, block=8)
+    want = check(spark, rows, how=how, block=8)
     assert len({c for _, _, c in want}) > 1
 
 
-def test_edges(spark):
+@pytest.mark.parametrize("how", JOINS)
+def test_families_that_share_passages(spark, how):
+    """Families of near copies, most of each a passage that all of them share: the
+    keys of the passage join everything, the links must not."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    passage, rows = [word() for _ in range(70)], []
+    for _ in range(50):
+        own = passage + [word() for _ in range(30)]
+        for _ in range(4):
+            copy = list(own)
+            copy[rng.randrange(100)] = word()
+            rows.append((len(rows), " ".join(copy)))
+    want = check(spark, rows, 5, (80, 100), how)
+    assert len({c for _, _, c in want}) >= 50
+    assert len({c for _, _, c in want}) < 100
+
+
+def test_many_sets_with_one_passage(spark):
+    """5,400 sets share a fifth of their words; only 200 pairs link, none through the passage."""
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    passage, rows, want = [word() for _ in range(20)], [], 0
+    for i in range(5200):
+        own = passage + [word() for _ in range(80)]
+        rows.append((len(rows), " ".join(own)))
+        if i < 200:
+            rows.append((len(rows), " ".join([*own, word()])))
+            want += 1
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for join in JOINS.values():
+        got = join(frame, 5, (80, 100))
+        assert sum(r["doc_id"] != r["component_id"] for r in got.collect()) == want
+
+
+def test_occurrences_by_prefix_and_skips():
+    rng = random.Random(9)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(30), rng.randint(0, 12))) for _ in range(rng.randint(0, 9))]
+        least = rng.randint(1, 6)
+        want = {x for x in range(30) if sum(x in y for y in lists) >= least}
+        assert set(occurring(lists, least)) == want
+
+
+def test_keep_one_passes_any_columns(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text), (2, text), (2, text), (3, None), (3, None), (None, "apart"), (4, text + " x"), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in "id content document kept_id copies _kept _hash _no node root".split():
+        docs = docs.withColumn(name, F.lit("mine"))
+    got = keep_one(docs, 5, (80, 100))
+    assert got.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == ["1", "3", "5", "None"]
+    assert keep_one(docs.limit(0), 5, (80, 100)).count() == 0
+
+
+def test_set_ids_tell_sets_apart():
+    import numpy as np
+
+    tokens, counts = meeting.token_sets([f"a{i} b c{i % 7} d e" for i in range(3000)], 3)
+    ids = meeting.set_ids(tokens, counts)
+    assert len(np.unique(ids[:, 0])) == len(np.unique(ids[:, 1])) == 3000
+
+
+@pytest.mark.parametrize("how", JOINS)
+def test_edges(spark, how):
     check(
         spark,
         [
@@ -94,10 +180,12 @@ def test_edges(spark):
             (None, "only null here now"), (None, "only null here now"), (11, "only null here NOW then"),
             (12, "a a a a a a a a"), (13, "a a a"), (14, "z" * 5000), (15, "z" * 5000),
         ],
+        how=how,
     )
 
 
-def test_no_rows_and_no_links(spark):
+@pytest.mark.parametrize("how", JOINS)
+def test_no_rows_and_no_links(spark, how):
     empty = spark.createDataFrame([], "doc_id long, text string")
-    assert link_components(empty).count() == 0
-    check(spark, [(1, "a b c d"), (2, "e f g h")])
+    assert JOINS[how](empty).count() == 0
+    check(spark, [(1, "a b c d"), (2, "e f g h")], how=how)
