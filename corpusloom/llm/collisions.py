@@ -78,7 +78,7 @@ def prefixes(lists: DataFrame) -> DataFrame:
 
 
 def occurring(lists: list[list[int]], least: int):
-    """Numbers that stand in at least ``least`` of the ascending lists."""
+    """``times, number`` of the numbers in at least ``least`` of the ascending lists."""
     lists = sorted((x for x in lists if x), key=len)
     cut = len(lists) - least + 1
     if cut < 1:
@@ -86,23 +86,24 @@ def occurring(lists: list[list[int]], least: int):
     for number, times in Counter(chain.from_iterable(lists[:cut])).items():
         left = len(lists) - cut
         for longer in lists[cut:]:
-            if times >= least or times + left < least:
+            if times + left < least:
                 break
             at = bisect_left(longer, number)
             times += at < len(longer) and longer[at] == number
             left -= 1
         if times >= least:
-            yield number
+            yield times, number
 
 
-def collision_search(sketches: list[bytes], roots: list, sides: list[int] | None):
-    """Pairs of sets of different components that match often enough.
+def collision_search(sketches: list[bytes], roots: list, sides: list[int] | None, fresh=None):
+    """``matches, x, y`` of sets of different components that match often enough.
 
-    Sets stand by the size of their component, and each is looked up among those
-    of later components: the largest one looks nothing up.
+    Fresh sets stand first, by the size of their component, and each is looked up
+    among those of later components: the largest one looks nothing up.
     """
-    size = Counter(roots)
-    order = sorted(range(len(roots)), key=lambda i: (size[roots[i]], roots[i], i))
+    fresh = fresh or [True] * len(roots)
+    size = Counter(r for r, new in zip(roots, fresh, strict=True) if new)
+    order = sorted(range(len(roots)), key=lambda i: (not fresh[i], size[roots[i]], roots[i], i))
     table = np.frombuffer(b"".join(sketches), np.uint32).reshape(-1, COORDINATES)[order]
     postings: list[list[int]] = []
     names = np.empty(table.shape, np.int64)
@@ -117,15 +118,14 @@ def collision_search(sketches: list[bytes], roots: list, sides: list[int] | None
         at += n
         ends[root] = at
     found = []
-    for place, own in enumerate(order):
+    for place, own in enumerate(order[:at]):
         later = ends[roots[own]]
-        if later == len(order):
-            break
         lists = [postings[name] for name in names[place].tolist()]
         lists = [x[bisect_left(x, later) :] for x in lists if x[-1] >= later]
-        for other in occurring(lists, MATCHES):
-            if sides is None or sides[own] != sides[order[other]]:
-                found.append((own, order[other]))
+        for times, other in occurring(lists, MATCHES):
+            other = order[other]
+            if roots[own] != roots[other] and (sides is None or sides[own] != sides[other]):
+                found.append((times, own, other))
     return found
 
 

@@ -194,23 +194,26 @@ class SignatureTree:
                 most = min(
                     shared + min(self.hidden[i], self.hidden[j]), self.sizes[i], self.sizes[j]
                 )
-                if (num + den) * most >= num * (self.sizes[i] + self.sizes[j]):
-                    yield i, j
+                total = self.sizes[i] + self.sizes[j]
+                if (num + den) * most >= num * total:
+                    yield most / total, i, j
 
 
 def tree_search(threshold: tuple[int, int]):
-    """The search of a list's sketches; ``sides`` (0 or 1) restricts it to across."""
+    """The search of a list's sketches: pairs by the overlap they may have."""
 
-    def search(sketches: list[bytes], roots: list, sides: list[int] | None):
+    def search(sketches: list[bytes], roots: list, sides: list[int] | None, fresh=None):
         work = SignatureTree(sketches, roots, threshold)
-        if sides is None:
-            whole = work.tree(list(range(len(sketches))))
-            return list(work.traverse(whole, whole))
-        left = [i for i, s in enumerate(sides) if s == 0]
-        right = [i for i, s in enumerate(sides) if s == 1]
-        if not left or not right:
+        if sides is not None:
+            left, right = ([i for i, s in enumerate(sides) if s == x] for x in (0, 1))
+        else:
+            left = [i for i in range(len(roots)) if fresh is None or fresh[i]]
+            right = [i for i in range(len(roots)) if fresh is not None and not fresh[i]]
+        if not left:
             return []
-        return list(work.traverse(work.tree(left), work.tree(right)))
+        tree = work.tree(left)
+        found = [] if sides is not None else list(work.traverse(tree, tree))
+        return found + (list(work.traverse(tree, work.tree(right))) if right else [])
 
     return search
 

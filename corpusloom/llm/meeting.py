@@ -10,12 +10,14 @@ and how a list of sketches is searched; this module does the rest:
    the first set of those lists in which it meets that set most often.  This
    unites most groups of near copies for one comparison a set.
 3. Lists whose members are one component are done, and of lists with the same
-   members one is kept.  In each that is left the operator's search proposes pairs
-   of different components; these too are compared token by token.
+   members one is kept.  Lists of the same sets go to one task, with one copy of
+   each set.  There the operator's search proposes pairs of different components,
+   which are compared in the order of their likeliness; a pair that links before
+   have united is skipped.  No pair leaves the task but those that unite.
 
 Only compared pairs are links.  A list is searched whole by one task up to ``BLOCK``
-members; longer ones are dealt into blocks that meet pair by pair.  Memory of a
-task: a block's sketches, or ``GROUP_BYTES`` of token sets.
+members or ``SLOT_BYTES`` of token sets; longer ones are dealt into blocks that meet
+pair by pair.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ SEGMENT = 1_500_000             # bytes of text whose sets are made together
 BUCKET_KEYS = 1_500_000
 BUCKET_BYTES = 128_000_000      # of keys in a bucket; more only if one key is very frequent
 FLUSH_KEYS = 2_000_000
-BLOCK = 2048                    # members of a list that one task searches
-SLOT_ROWS = 20_000              # members of short lists searched by one task
+BLOCK = 1024                    # members of a list that one task searches
+SLOT_BYTES = 32_000_000         # token sets of the lists that one task searches
 GROUP_BYTES = 16_000_000        # token sets that one comparison task holds
 SPREAD = 0x2545F4914F6CDD1D     # odd
 OTHER = np.uint64(0x9FB21C651E98DF25)
@@ -374,88 +376,156 @@ def first_pairs(lists: DataFrame) -> DataFrame:
     return met.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
 
 
-def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, node, root, size``: one list of each content that is not one component."""
+def open_lists(lists: DataFrame, labels: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """``slot, i, j, key, node, root, side``: the lists that are not one component.
+
+    Of lists with the same members one is kept.  Those that hold one smallest
+    component, which mostly have the same members, go to one slot as far as the
+    bytes of their sets allow; a list too long for a task is dealt into blocks, and
+    block ``i`` meets block ``j >= i``.
+    """
+    known = sets.select(F.col("node").alias("of"), "n").join(
+        labels.select(F.col("node").alias("its"), "root"), F.col("of") == F.col("its"), "left"
+    ).select("of", (F.col("n") * 8).alias("bytes"), "root")
     rooted = staged(
-        lists.select("key", "node")
-        .join(labels.select(F.col("node").alias("of"), "root"), F.col("node") == F.col("of"), "left")
-        .select("key", "node", F.coalesce("root", "node").alias("root")),
+        lists.select("key", "node").join(known, F.col("node") == F.col("of"))
+        .select("key", "node", "bytes", F.coalesce("root", "node").alias("root")),
         "rooted",
     )
     contents = rooted.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.count("*").alias("size"), F.sum("bytes").alias("bytes"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("one"),
         F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("two"),
     ).filter("low <> high")
     chosen = staged(
-        contents.groupBy("size", "one", "two").agg(F.min("key").alias("of")).select("of", "size"),
+        contents.groupBy("size", "one", "two", "low", "bytes").agg(F.min("key").alias("of"))
+        .select("of", "size", "bytes", "low"),
         "open",
     )
-    return share_join(rooted, chosen, "key", "of", "size").select("key", "node", "root", "size")
+    by_low = staged(
+        chosen.groupBy(F.col("low").alias("its_low")).agg(
+            F.count("*").alias("lists"), F.ceil(F.sum("bytes") / SLOT_BYTES).alias("parts")
+        ),
+        "lows",
+    )
+    whole = chosen.agg(F.sum("bytes")).first()[0] or 0
+    slots = F.lit(int(whole) // SLOT_BYTES + 1)
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("bytes") / SLOT_BYTES))
+    placed = staged(
+        share_join(chosen, by_low, "low", "its_low", "lists").select(
+            "of", "size", blocks.alias("blocks"),
+            F.pmod(F.xxhash64("low", F.pmod(F.xxhash64("of"), F.col("parts"))), slots).alias("slot"),
+        ),
+        "placed",
+    )
+    members = share_join(rooted, placed, "key", "of", "size")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(
+        F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long")))
+        .otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    dealt = members.select("key", "node", "root", "blocks", "slot", own.alias("own"), other.alias("other"))
+    one = F.col("blocks") == 1
+    return dealt.select(
+        F.when(one, F.col("slot")).otherwise(F.col("key")).alias("slot"),
+        F.when(one, F.lit(-1)).otherwise(F.least("own", "other")).cast("long").alias("i"),
+        F.when(one, F.lit(-1)).otherwise(F.greatest("own", "other")).cast("long").alias("j"),
+        "key", "node", "root", (F.col("own") > F.col("other")).cast("int").alias("side"),
+    )
 
 
-def proposed(
-    opened: DataFrame, sets: DataFrame, sketch: Callable, search: Callable, block: int
+class Reunion:
+    """What a task knows of the sets of its lists."""
+
+    def __init__(self, nodes: list[bytes], tokens: list[np.ndarray], sketch, threshold):
+        self.number = {node: i for i, node in enumerate(nodes)}
+        self.nodes, self.tokens, self.threshold = nodes, tokens, threshold
+        self.sketches = [sketch(t) for t in tokens]
+        self.up: dict = {}
+        self.apart: set = set()
+        self.done: list[int] = []           # bitmaps of the members of lists behind us
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, name):
+        while (above := self.up.get(name, name)) != name:
+            self.up[name] = self.up.get(above, above)
+            name = above
+        return name
+
+    def settle(self, members: list[int], roots: list[bytes], sides, search) -> None:
+        """Compare the pairs that the search proposes, likeliest first."""
+        roots = [self.find(r) for r in roots]
+        if len(set(roots)) == 1:
+            return
+        fresh = None
+        if sides is None:
+            # pairs that met in one list behind us need not meet again
+            bits = sum(1 << m for m in members)
+            behind = max(self.done, key=lambda x: (x & bits).bit_count(), default=0)
+            self.done.append(bits)
+            fresh = [not behind >> m & 1 for m in members]
+        found = search([self.sketches[m] for m in members], roots, sides, fresh)
+        num, den = self.threshold
+        for _, x, y in sorted(found, reverse=True):
+            a, b = members[x], members[y]
+            pair = (min(a, b), max(a, b))
+            if pair in self.apart or self.find(roots[x]) == self.find(roots[y]):
+                continue
+            common = common_tokens(self.tokens[a], self.tokens[b])
+            if den * common >= num * (len(self.tokens[a]) + len(self.tokens[b]) - common):
+                first, second = self.find(roots[x]), self.find(roots[y])
+                self.up[max(first, second)] = min(first, second)
+                self.links.append(pair)
+            else:
+                self.apart.add(pair)
+
+
+def settled_links(
+    opened: DataFrame, sets: DataFrame, sketch: Callable, search: Callable, threshold: tuple[int, int]
 ) -> DataFrame:
-    """Pairs ``a, b`` of different components that the operator's search proposes.
+    """Links ``a, b`` that unite the components of the open lists.
 
-    ``sketch(tokens)`` is the bytes of a set; ``search(sketches, roots, sides)``
-    yields pairs of positions whose sets may link.
+    ``sketch(tokens)`` is the short form of a set; ``search(sketches, roots, sides,
+    fresh)`` returns ``score, x, y`` for the positions of sets that may link: of
+    different roots, on different sides if there are sides, one of them fresh.
+    Within a task a pair is compared only if no link has united it before, so the
+    links are at most one fewer than the sets.
     """
-
-    def draw(batches):
-        for batch in batches:
-            made = [sketch(np.frombuffer(t, np.uint64)) for t in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(made, pa.binary())], names=["of", "sketch"]
-            )
-
     opened = staged(opened, "opened")
-    rows = opened.count()
-    slots = rows // SLOT_ROWS + 1
-    drawn = sets.select("node", "tokens").join(
-        opened.select("node").distinct(), "node", "left_semi"
-    ).mapInArrow(draw, "of binary, sketch binary")
-    blocks = F.ceil(F.col("size") / block)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    short = opened.filter(F.col("size") <= block).select(
-        F.pmod(F.xxhash64("key"), F.lit(slots)).alias("slot"), F.lit(-1).cast("long").alias("i"),
-        F.lit(-1).cast("long").alias("j"), "key", "node", "root", F.lit(0).alias("side"),
-    )
-    # block i of a long list meets itself and every later one
-    spread = opened.filter(F.col("size") > block).select("key", "node", "root", own.alias("own"), blocks.alias("blocks"))
-    meets = spread.select(
-        "key", "node", "root", "own",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"),
-    )
-    long = meets.select(
-        F.col("key").alias("slot"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "key", "node", "root", (F.col("own") > F.col("other")).cast("int").alias("side"),
-    )
-    tasks = short.unionByName(long).join(drawn, F.col("node") == F.col("of")).drop("of")
-
-    def look(table: pa.Table) -> pa.Table:
-        keys = table.column("key").to_numpy()
+    places = opened.select(
+        F.col("slot").alias("in_slot"), F.col("i").alias("in_i"), F.col("j").alias("in_j"),
+        F.col("node").alias("member"),
+    ).distinct()
+    loads = places.join(sets.select("node", "tokens"), F.col("member") == F.col("node")).drop("node")
+
+    def look(lists: pa.Table, loads: pa.Table) -> pa.Table:
+        work = Reunion(
+            loads.column("member").to_pylist(),
+            [np.frombuffer(t, np.uint64) for t in loads.column("tokens").to_pylist()],
+            sketch, threshold,
+        )
+        keys = lists.column("key").to_numpy()
         order = np.argsort(keys, kind="stable")
-        nodes, sketches = table.column("node").to_pylist(), table.column("sketch").to_pylist()
-        roots, sides = table.column("root").to_pylist(), table.column("side").to_pylist()
-        across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        found = set()
-        for begin, size in zip(*groups_of(keys[order]), strict=True):
+        members = [work.number[x] for x in lists.column("node").to_pylist()]
+        roots, sides = lists.column("root").to_pylist(), lists.column("side").to_pylist()
+        across = lists.num_rows and lists.column("i")[0].as_py() != lists.column("j")[0].as_py()
+        runs = sorted(zip(*groups_of(keys[order]), strict=True), key=lambda r: -r[1])
+        for begin, size in runs:
             here = order[begin : begin + size].tolist()
-            for x, y in search(
-                [sketches[i] for i in here], [roots[i] for i in here],
-                [sides[i] for i in here] if across else None,
-            ):
-                a, b = nodes[here[x]], nodes[here[y]]
-                found.add((min(a, b), max(a, b)))
+            work.settle(
+                [members[x] for x in here], [roots[x] for x in here],
+                [sides[x] for x in here] if across else None, search,
+            )
         return pa.table({
-            "a": pa.array([x for x, _ in found], pa.binary()),
-            "b": pa.array([y for _, y in found], pa.binary()),
+            "a": pa.array([work.nodes[x] for x, _ in work.links], pa.binary()),
+            "b": pa.array([work.nodes[y] for _, y in work.links], pa.binary()),
         })
 
-    pairs = tasks.groupBy("slot", "i", "j").applyInArrow(look, "a binary, b binary")
-    return staged(pairs.distinct(), "proposed")
+    links = opened.groupBy("slot", "i", "j").cogroup(loads.groupBy("in_slot", "in_i", "in_j")).applyInArrow(
+        look, "a binary, b binary"
+    )
+    return staged(links, "links")
 
 
 def empty_labels(frame: DataFrame) -> DataFrame:
@@ -497,10 +567,9 @@ def shingle_components(
         sets = wanted_sets(source, lists.select("node").distinct(), rows, words)
         links = compared(staged(first_pairs(lists), "first_pairs"), sets, threshold)
         labels = connected_components(links)
-        more = proposed(open_lists(lists, labels), sets, sketch, search, block)
+        more = settled_links(open_lists(lists, labels, sets, block), sets, sketch, search, threshold)
         if more.limit(1).count():
-            links = links.unionByName(compared(more, sets, threshold))
-            labels = connected_components(links)
+            labels = connected_components(links.unionByName(more))
         discard(sets, lists)
     named = left_lookup(
         rows, labels.select(F.col("node").alias("known"), "root"), "node", "known", "doc_id"

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import meeting
-from corpusloom.llm.collisions import near_duplicates, occurring
-from corpusloom.llm.jaccard import keep_one, link_components
+from corpusloom.llm.collisions import collision_search, near_duplicates, occurring, signature_sketch
+from corpusloom.llm.jaccard import bitmap_sketch, keep_one, link_components, tree_search
 
 
 def brute(rows, words, threshold):
@@ -146,10 +146,39 @@ def test_occurrences_by_prefix_and_skips():
     for _ in range(300):
         lists = [sorted(rng.sample(range(30), rng.randint(0, 12))) for _ in range(rng.randint(0, 9))]
         least = rng.randint(1, 6)
-        want = {x for x in range(30) if sum(x in y for y in lists) >= least}
+        times = {x: sum(x in y for y in lists) for x in range(30)}
+        want = {(n, x) for x, n in times.items() if n >= least}
         assert set(occurring(lists, least)) == want
 
 
+@pytest.mark.parametrize("search", [tree_search((80, 100)), collision_search])
+def test_searches_propose_all_that_link(search):
+    """Whatever is fresh, whatever the sides: no linked pair that may meet is left out."""
+    import numpy as np
+
+    draw = bitmap_sketch if search is not collision_search else signature_sketch
+    rows = corpus(11, 40, 80)
+    tokens, counts = meeting.token_sets([t for _, t in rows], 3)
+    ends = np.cumsum(counts)
+    sets = [tokens[e - c : e] for e, c in zip(ends, counts, strict=True)]
+    rng = random.Random(2)
+    for _ in range(6):
+        members = rng.sample([i for i in range(len(sets)) if len(sets[i])], 70)
+        roots = [rng.choice("abcdefghijkl") for _ in members]
+        fresh = [rng.random() < 0.3 for _ in members]
+        sides = rng.choice([None, [rng.randint(0, 1) for _ in members]])
+        found = search([draw(sets[m]) for m in members], roots, sides, None if sides else fresh)
+        got = {frozenset(x[1:]) for x in found}
+        assert all(roots[x] != roots[y] for x, y in map(tuple, got))
+        for x in range(70):
+            for y in range(x):
+                a, b = sets[members[x]], sets[members[y]]
+                common = meeting.common_tokens(a, b)
+                meets = sides[x] != sides[y] if sides else fresh[x] or fresh[y]
+                if meets and roots[x] != roots[y] and 100 * common >= 85 * (len(a) + len(b) - common):
+                    assert frozenset((x, y)) in got
+
+
 def test_keep_one_passes_any_columns(spark):
     text = " ".join(f"word{i}" for i in range(30))
     rows = [(1, text), (2, text), (2, text), (3, None), (3, None), (None, "apart"), (4, text + " x"), (5, "")]
