@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +39,15 @@ SCRIPT_RANGES = [
     (0xFF21, "latin"), (0xFF5B, "other"), (0x20000, "han"), (0x32000, "other"),
 ]
 
-WORD = re.compile(r"[^\W\d_]+")
+# letters with the marks that combine with them; the second form is the same for ASCII
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+ASCII_WORD = re.compile("[A-Za-z]+")
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
 TRAIN_DOCS = 2000        # labelled documents per language, the bound of the sample
 SWITCH_PENALTY = 8.0
 SCRIPT_SHARE = 0.001     # of a language's letters: below, a script is not its own
 SCRIPT_MISS = 20.0
-STRETCH = 4096           # words labelled by one path; a longer text has several
 CACHE_WORDS = 150_000
 PIECE_CHARS = 2_000_000
 SEED_HASH = 1_000_003
@@ -97,8 +99,12 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+def words_in(text: str):
+    return ASCII_WORD if text.isascii() else WORD
+
+
 def lower_words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    return words_in(text).findall(text.lower()) if text else []
 
 
 def fit_language_model(
@@ -109,14 +115,16 @@ def fit_language_model(
 
     At most about ``train_docs`` rows of a language are used, chosen by a hash of
     the text.  What comes to the driver is one count per bucket and language.
-    No labelled row: ValueError.
+    Without any labelled row the model knows no language and every text is ``und``.
     """
     rows = labelled.select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        raise ValueError("no labelled text to learn from")
+        return LanguageModel(
+            (), np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool)
+        )
     share = F.create_map(
         *[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_docs / n))]
     )
@@ -128,14 +136,13 @@ def fit_language_model(
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for text, lang in zip(texts, langs, strict=True):
-                for part in range(0, len(text), PIECE_CHARS):
-                    words = lower_words(text[part : part + PIECE_CHARS])
-                    if words:
-                        held = total.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                        held += np.bincount(
-                            np.concatenate([gram_buckets(words)[0], BUCKETS + scripts_of(words)]),
-                            minlength=len(held),
-                        )
+                words = lower_words(text)
+                if words:
+                    held = total.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                    held += np.bincount(
+                        np.concatenate([gram_buckets(words)[0], BUCKETS + scripts_of(words)]),
+                        minlength=len(held),
+                    )
         for lang, held in total.items():
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_pydict(
@@ -179,9 +186,9 @@ def score_words(model: LanguageModel, words: list[str]) -> np.ndarray:
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
-    """Best label of every word; ``lengths`` cuts ``scores`` into stretches.
+    """Best label of every word; ``lengths`` cuts ``scores`` into texts.
 
-    All stretches advance together, longest first, so a step is one array
+    All texts advance together, longest first, so a step is one array
     operation.  Ties keep the label, then take the first language.
     """
     total, k = scores.shape
@@ -237,12 +244,11 @@ class Labeller:
         """Of each text: language or ``und``, score, and spans ``(start, end, language)``."""
         listed = [lower_words(t) for t in texts]
         words = [w for found in listed for w in found]
-        if not words:
+        if not words or not self.model.languages:
             return [("und", 0.0, []) for _ in texts]
-        stretches = [
-            min(STRETCH, len(found) - s) for found in listed for s in range(0, len(found), STRETCH)
-        ]
-        labels = viterbi(self.scores(words), np.array(stretches), self.penalty)
+        labels = viterbi(
+            self.scores(words), np.array([len(found) for found in listed if found]), self.penalty
+        )
         letters = np.fromiter(map(len, words), np.int64, len(words))
         counts = np.array([len(found) for found in listed])
         owner = np.repeat(np.arange(len(texts)), counts)
@@ -273,7 +279,7 @@ class Labeller:
             return [(0, len(text), names[0])]
         wanted, cuts = set(changes.tolist()), [0]
         # offsets in the text as it is: a letter that lower() lengthens may shift the count
-        for i, match in enumerate(WORD.finditer(text)):
+        for i, match in enumerate(words_in(text).finditer(text)):
             if i in wanted:
                 cuts.append(match.start())
         cuts += [len(text)] * (len(names) + 1 - len(cuts))

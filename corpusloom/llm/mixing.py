@@ -219,35 +219,38 @@ def mix_documents(
     A document comes once for every whole pass and, if some of its blocks are
     taken once more, again with the words of these blocks: its text as it is if
     that is all of them, else the words joined by blanks.  Documents of which
-    nothing is taken, such as empty ones, are absent.  ``n_chars`` follows the
-    text where the column exists.
+    nothing is taken, such as empty ones and nulls, are absent.  ``n_chars`` follows
+    the text where the column exists.  Null and repeated ids and repeated rows are
+    each taken by themselves; other columns pass through, whatever their names; an
+    empty table stays empty.
     """
-    row = {
-        "_id": F.col(id_col), "_hash": F.xxhash64(text_col, source_col),
-    }
-    numbered = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
+    packed = docs.select(
+        F.struct("*").alias("doc"), F.col(id_col).alias("id"),
+        F.xxhash64(text_col, source_col).alias("content"),
+        F.col(text_col).alias("text"), F.col(source_col).alias("source"),
+    )
     plan = mix_sources(
-        docs.withColumns(row).select("_id", "_hash", text_col, source_col).withColumnsRenamed(
-            {text_col: "text", source_col: "source"}
-        ).withColumn("doc_id", F.struct("_id", "_hash")),
+        packed.select("text", "source", F.struct("id", "content").alias("doc_id")),
         block_words=block_words, **options,
     ).select(
-        F.col("doc_id._id").alias("_p_id"), F.col("doc_id._hash").alias("_p_hash"),
+        F.col("doc_id.id").alias("p_id"), F.col("doc_id.content").alias("p_content"),
         "taken", "size", "start_word", "passes", "extra_blocks", "block_offset", "blocks",
     )
-    copies = Window.partitionBy("_p_id", "_p_hash").orderBy("start_word", "passes", "block_offset")
-    plan = plan.withColumn("_p_no", F.row_number().over(copies)).filter("taken > 0")
-    placed = docs.withColumns(row).withColumn("_no", F.row_number().over(numbered))
+    copies = Window.partitionBy("p_id", "p_content").orderBy("start_word", "passes", "block_offset")
+    plan = plan.withColumn("p_no", F.row_number().over(copies)).filter("taken > 0")
+    numbered = Window.partitionBy("id", "content").orderBy(F.lit(0))
+    placed = packed.select("doc", "id", "content", F.row_number().over(numbered).alias("no"))
     joined = placed.join(
         plan,
-        F.col("_id").eqNullSafe(F.col("_p_id")) & (F.col("_hash") == F.col("_p_hash"))
-        & (F.col("_no") == F.col("_p_no")),
+        F.col("id").eqNullSafe(F.col("p_id")) & (F.col("content") == F.col("p_content"))
+        & (F.col("no") == F.col("p_no")),
     )
+    text = F.col("doc").getField(text_col)
     again = F.col("taken") - F.col("passes") * F.col("size")
     ready = evaluated(
-        joined, *docs.columns, "size", "passes", "start_word", "extra_blocks", "block_offset",
-        "blocks", again.alias("_again"),
-        F.when((again > 0) & (again < F.col("size")), word_array(F.col(text_col))).alias("_words"),
+        joined, "doc", "size", "passes", "start_word", "extra_blocks", "block_offset",
+        "blocks", again.alias("again"),
+        F.when((again > 0) & (again < F.col("size")), word_array(text)).alias("words"),
     )
 
     def chosen(word, i):
@@ -258,21 +261,19 @@ def mix_documents(
         )
         return after > before
 
-    part = F.when(F.col("_again") == F.col("size"), F.col(text_col)).when(
-        F.col("_again") > 0, F.array_join(F.filter("_words", chosen), " ")
+    part = F.when(F.col("again") == F.col("size"), text).when(
+        F.col("again") > 0, F.array_join(F.filter("words", chosen), " ")
     )
     texts = F.concat(
-        F.array_repeat(F.col(text_col), F.col("passes").cast("int")),
-        F.when(F.col("_again") > 0, F.array(part)).otherwise(F.array().cast("array<string>")),
-    )
-    emitted = ready.select(
-        *[c for c in docs.columns if c != text_col], F.explode_outer(texts).alias("_text")
+        F.array_repeat(text, F.col("passes").cast("int")),
+        F.when(F.col("again") > 0, F.array(part)).otherwise(F.array().cast("array<string>")),
     )
+    emitted = ready.select("doc", F.explode_outer(texts).alias("text"))
     return emitted.select(
         *[
-            F.col("_text").alias(c) if c == text_col
-            else F.length("_text").cast("long").alias(c) if c == "n_chars"
-            else F.col(c)
+            F.col("text").alias(c) if c == text_col
+            else F.length("text").cast("long").alias(c) if c == "n_chars"
+            else F.col("doc").getField(c).alias(c)
             for c in docs.columns
         ]
     )

@@ -246,12 +246,15 @@ def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD
 
     Spans are found as in :func:`find_spans`; overlapping ones become one mark,
     that of the first.
-    Null stays null; other columns are untouched.
+    Null stays null, empty stays empty; rows with null or repeated ids are rows like
+    others; other columns are untouched, whatever their names.
     """
-    kept = docs.columns
-    found = find_spans(docs, text_col, threshold, into="_found")
+    packed = docs.select(
+        F.struct("*").alias("document"), F.col(text_col).cast("string").alias("text")
+    )
+    found = find_spans(packed, "text", threshold, into="found")
     merged = F.aggregate(
-        "_found",
+        "found",
         F.array().cast("array<struct<start:int,end:int,kind:string>>"),
         lambda a, s: F.when(
             (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["end"] > s["start"]),
@@ -269,21 +272,26 @@ def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD
             )
         ),
     )
-    ready = evaluated(found, *kept, merged.alias("_spans"))
-    text = F.col(text_col)
+    ready = evaluated(found, "document", "text", merged.alias("spans"))
+    text = F.col("text")
     pieces = F.transform(
-        "_spans",
+        "spans",
         lambda s, i: F.concat(
             F.substr(
                 text,
-                F.coalesce(F.get(F.col("_spans"), i - 1)["end"], F.lit(0)) + 1,
-                s["start"] - F.coalesce(F.get(F.col("_spans"), i - 1)["end"], F.lit(0)),
+                F.coalesce(F.get(F.col("spans"), i - 1)["end"], F.lit(0)) + 1,
+                s["start"] - F.coalesce(F.get(F.col("spans"), i - 1)["end"], F.lit(0)),
             ),
             F.lit("["), F.upper(s["kind"]), F.lit("]"),
         ),
     )
-    tail = F.substr(text, F.get(F.col("_spans"), F.size("_spans") - 1)["end"] + 1)
-    clean = F.when(F.size("_spans") == 0, text).otherwise(
+    tail = F.substr(text, F.get(F.col("spans"), F.size("spans") - 1)["end"] + 1)
+    clean = F.when(F.size("spans") == 0, text).otherwise(
         F.concat(F.array_join(pieces, ""), tail)
     )
-    return ready.select(*[clean.alias(c) if c == text_col else F.col(c) for c in kept])
+    return ready.select(
+        *[
+            clean.alias(c) if c == text_col else F.col("document").getField(c).alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -24,6 +24,7 @@ WIDTH = 8               # bytes a filter sees: two strides
 EMBED = 8
 FILTERS = 48
 TRAIN_ROWS = 4000       # labelled documents, half of each class where there are enough
+TRAIN_BYTES = 1 << 17   # longest text of the training sample
 TRAIN_CHUNKS = 24       # chunks of one document in one epoch, drawn anew each time
 EPOCHS = 12
 BATCH_DOCS = 64
@@ -145,16 +146,21 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = SEED) -> dict[str,
 
 
 def fit_quality_model(
-    docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, seed: int = SEED
+    docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, seed: int = SEED,
+    train_bytes: int = TRAIN_BYTES,
 ) -> dict[str, np.ndarray]:
     """Weights learned from ``docs (doc_id, text)`` and ``labels (doc_id, quality)``.
 
     At most about ``train_rows`` labelled rows are used, chosen by a hash of the
-    id, half of each class where there are enough.  Null ids, texts and labels
-    are left out; without any labelled row all scores are one half.
+    id, half of each class where there are enough, and none with a text of more than
+    ``train_bytes``: one task holds the sample.  Null ids, texts and labels are left
+    out, an id with both labels counts as 0; without any labelled row, or any
+    document, all scores are one half.
     """
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(
-        F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()
+    known = (
+        labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+        .filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
     sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     smaller = min(sizes.get(0, 0), sizes.get(1, 0))
@@ -165,10 +171,10 @@ def fit_quality_model(
     limit = F.when(F.col("quality") == 1, shares[1]).otherwise(shares[0])
     drawn = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_003)) / F.lit(1_000_003)
     # bounded by train_rows, so it may be broadcast
-    chosen = known.filter(drawn < limit).dropDuplicates(["doc_id"])
+    chosen = known.filter(drawn < limit)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id"
-    ).filter("text is not null")
+    ).filter(F.octet_length("text") <= train_bytes)
 
     def learn(batches):
         rows = []
@@ -179,12 +185,17 @@ def fit_quality_model(
                 batch.column("quality").to_pylist(),
                 strict=True,
             )
+        if not rows:
+            return
         rows.sort(key=lambda r: (r[0], r[1]))
         texts = [r[1].encode("utf-8") for r in rows]
         weights = train(texts, np.array([r[2] for r in rows], np.float64), seed)
         yield pa.RecordBatch.from_pydict({"weights": [pickle.dumps(weights)]})
 
     found = sample.repartition(1).mapInArrow(learn, "weights binary").collect()
+    if not found:
+        neutral = new_weights(np.random.default_rng(seed))
+        return neutral | {"out": np.zeros_like(neutral["out"]), "offset": np.zeros_like(neutral["offset"])}
     return pickle.loads(found[0][0])
 
 
@@ -205,7 +216,11 @@ def piecewise(weights, texts: list[str | None]) -> np.ndarray:
 def keep_quality(
     docs: DataFrame, weights, threshold: float = THRESHOLD, text_col: str = "text"
 ) -> DataFrame:
-    """The rows whose text scores at least ``threshold``, with all their columns."""
+    """The rows whose text scores at least ``threshold``, with all their columns.
+
+    Null texts are scored like empty ones; rows with null or repeated ids are rows
+    like others; column names do not matter; an empty table stays empty.
+    """
 
     def keep(batches):
         for batch in batches:
