@@ -21,9 +21,7 @@ probability below 1e-14.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -64,6 +62,10 @@ def signature_sketch(tokens: np.ndarray) -> bytes:
     return signatures(tokens, np.array([len(tokens)])).tobytes()
 
 
+def signatures_allow(x: bytes, y: bytes) -> bool:
+    return int((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).sum()) >= MATCHES
+
+
 def prefixes(lists: DataFrame) -> DataFrame:
     """The shortest postings of each set, enough to meet all that match it."""
     postings = lists.groupBy("node").agg(
@@ -77,56 +79,66 @@ def prefixes(lists: DataFrame) -> DataFrame:
     )
 
 
-def occurring(lists: list[list[int]], least: int):
-    """``times, number`` of the numbers in at least ``least`` of the ascending lists."""
-    lists = sorted((x for x in lists if x), key=len)
+def occurring(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in at least ``least`` of the ascending lists, and in how many."""
+    lists = sorted((x for x in lists if len(x)), key=len)
     cut = len(lists) - least + 1
     if cut < 1:
-        return
-    for number, times in Counter(chain.from_iterable(lists[:cut])).items():
-        left = len(lists) - cut
-        for longer in lists[cut:]:
-            if times + left < least:
-                break
-            at = bisect_left(longer, number)
-            times += at < len(longer) and longer[at] == number
-            left -= 1
-        if times >= least:
-            yield times, number
-
-
-def collision_search(sketches: list[bytes], roots: list, sides: list[int] | None, fresh=None):
-    """``matches, x, y`` of sets of different components that match often enough.
-
-    Fresh sets stand first, by the size of their component, and each is looked up
-    among those of later components: the largest one looks nothing up.
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    times = np.bincount(np.concatenate(lists[:cut]))
+    numbers = np.flatnonzero(times)
+    times = times[numbers]
+    for i, longer in enumerate(lists[cut:]):
+        # those that the lists left cannot bring to the threshold are skipped
+        able = times + (len(lists) - cut - i) >= least
+        numbers, times = numbers[able], times[able]
+        if not len(numbers):
+            break
+        at = np.minimum(np.searchsorted(longer, numbers), len(longer) - 1)
+        times = times + (longer[at] == numbers)
+    return numbers[times >= least], times[times >= least]
+
+
+def collision_search(sketches: list[bytes], roots: list, sides: list[int] | None):
+    """Arrays ``matches, x, y``: sets of different components that match often enough.
+
+    Sets stand by the size of their component, and each is looked up among those
+    of later components: the largest one looks nothing up.
     """
-    fresh = fresh or [True] * len(roots)
-    size = Counter(r for r, new in zip(roots, fresh, strict=True) if new)
-    order = sorted(range(len(roots)), key=lambda i: (not fresh[i], size[roots[i]], roots[i], i))
+    size = Counter(roots)
+    order = sorted(range(len(roots)), key=lambda i: (size[roots[i]], roots[i], i))
     table = np.frombuffer(b"".join(sketches), np.uint32).reshape(-1, COORDINATES)[order]
-    postings: list[list[int]] = []
+    postings: list[np.ndarray] = []
     names = np.empty(table.shape, np.int64)
     for i in range(COORDINATES):
         by_value = np.argsort(table[:, i], kind="stable")
         for begin, run in zip(*groups_of(table[by_value, i]), strict=True):
             members = by_value[begin : begin + run]
             names[members, i] = len(postings)
-            postings.append(members.tolist())
+            postings.append(members)
     ends, at = {}, 0
     for root, n in sorted(size.items(), key=lambda x: (x[1], x[0])):
         at += n
         ends[root] = at
+    side_of = None if sides is None else np.array(sides)[order]
     found = []
-    for place, own in enumerate(order[:at]):
-        later = ends[roots[own]]
+    for place in range(len(order)):
+        later = ends[roots[order[place]]]
+        if later == len(order):
+            break
         lists = [postings[name] for name in names[place].tolist()]
-        lists = [x[bisect_left(x, later) :] for x in lists if x[-1] >= later]
-        for times, other in occurring(lists, MATCHES):
-            other = order[other]
-            if roots[own] != roots[other] and (sides is None or sides[own] != sides[other]):
-                found.append((times, own, other))
-    return found
+        lists = [x[np.searchsorted(x, later) :] for x in lists if x[-1] >= later]
+        others, times = occurring(lists, MATCHES)
+        if side_of is not None:
+            across = side_of[others] != side_of[place]
+            others, times = others[across], times[across]
+        if len(others):
+            found.append(np.stack([times, np.full(len(others), place), others]))
+    if not found:
+        return (np.empty(0, np.int64),) * 3
+    times, x, y = np.concatenate(found, axis=1)
+    order = np.array(order)
+    return times, order[x], order[y]
 
 
 def near_duplicates(
@@ -152,7 +164,8 @@ def near_duplicates(
     """
     found = shingle_components(
         docs, words, threshold, make_keys=posting_keys, keys_a_byte=COORDINATES / 1500,
-        sketch=signature_sketch, search=collision_search, narrow=prefixes,
+        sketch=signature_sketch, may=signatures_allow, search=collision_search,
+        narrow=prefixes,
         id_col=id_col, text_col=text_col, block=block, bucket_bytes=bucket_bytes,
     )
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import left_lookup, staged
-from corpusloom.llm.meeting import BLOCK, BUCKET_BYTES, shingle_components
+from corpusloom.llm.meeting import BLOCK, BUCKET_BYTES, bitmap_of, folded, shingle_components
 from corpusloom.llm.packing import LAST, mixed, ranges
 
 WORDS = 3
@@ -82,27 +82,10 @@ def route_keys(tokens, counts, threshold) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def bitmap_width(size: int) -> int:
-    width = 64
-    while width < 2 * size:
-        width *= 2
-    return width
-
-
 def bitmap_sketch(tokens: np.ndarray) -> bytes:
     """The set's size and a bitmap of its tokens, at least two bits a token."""
-    width = bitmap_width(len(tokens))
-    flags = np.zeros(width, np.uint8)
-    flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
-    return len(tokens).to_bytes(8, "little") + np.packbits(flags, bitorder="little").tobytes()
-
-
-def folded(bits: int, width: int, to: int) -> int:
-    """A bitmap of fewer bits: what the tokens would have set in that one."""
-    while width > to:
-        width //= 2
-        bits = (bits & ((1 << width) - 1)) | (bits >> width)
-    return bits
+    bits, width = bitmap_of(tokens, 2)
+    return len(tokens).to_bytes(8, "little") + bits.to_bytes(width // 8, "little")
 
 
 class Node:
@@ -199,21 +182,30 @@ class SignatureTree:
                     yield most / total, i, j
 
 
+def bitmaps_allow(threshold: tuple[int, int]):
+    """Whether two sketches leave a link possible."""
+    search = tree_search(threshold)
+    return lambda x, y: len(search([x, y], [0, 1], None)[0]) > 0
+
+
 def tree_search(threshold: tuple[int, int]):
-    """The search of a list's sketches: pairs by the overlap they may have."""
+    """The search of a list's sketches: arrays ``overlap, x, y`` of pairs that may link."""
 
-    def search(sketches: list[bytes], roots: list, sides: list[int] | None, fresh=None):
+    def search(sketches: list[bytes], roots: list, sides: list[int] | None):
         work = SignatureTree(sketches, roots, threshold)
         if sides is not None:
             left, right = ([i for i, s in enumerate(sides) if s == x] for x in (0, 1))
         else:
-            left = [i for i in range(len(roots)) if fresh is None or fresh[i]]
-            right = [i for i in range(len(roots)) if fresh is not None and not fresh[i]]
-        if not left:
-            return []
-        tree = work.tree(left)
-        found = [] if sides is not None else list(work.traverse(tree, tree))
-        return found + (list(work.traverse(tree, work.tree(right))) if right else [])
+            left, right = list(range(len(roots))), []
+        found = []
+        if left:
+            tree = work.tree(left)
+            if sides is None:
+                found += work.traverse(tree, tree)
+            if right:
+                found += work.traverse(tree, work.tree(right))
+        overlap, x, y = zip(*found, strict=True) if found else ((), (), ())
+        return np.array(overlap, float), np.array(x, np.int64), np.array(y, np.int64)
 
     return search
 
@@ -242,7 +234,7 @@ def link_components(
         docs, words, threshold,
         make_keys=lambda tokens, counts: route_keys(tokens, counts, threshold),
         keys_a_byte=0.4 * (den - num) / num,
-        sketch=bitmap_sketch, search=tree_search(threshold),
+        sketch=bitmap_sketch, may=bitmaps_allow(threshold), search=tree_search(threshold),
         id_col=id_col, text_col=text_col, block=block, bucket_bytes=bucket_bytes,
     )
 

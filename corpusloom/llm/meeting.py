@@ -6,14 +6,16 @@ and how a list of sketches is searched; this module does the rest:
 1. One pass over the texts sends the keys, packed in buckets; a key that only one
    set has goes no further.  Sets are told apart by 128-bit digests, and equal
    sets are one set throughout.
-2. A list holds the sets of one key.  Each set is compared, token by token, with
-   the first set of those lists in which it meets that set most often.  This
-   unites most groups of near copies for one comparison a set.
+2. A list holds the sets of one key.  Each set is compared with the first set of
+   those lists in which it meets that set most often: by sketches, and if these do
+   not rule a link out, token by token.  This unites most groups of near copies for
+   one comparison a set.
 3. Lists whose members are one component are done, and of lists with the same
-   members one is kept.  Lists of the same sets go to one task, with one copy of
-   each set.  There the operator's search proposes pairs of different components,
-   which are compared in the order of their likeliness; a pair that links before
-   have united is skipped.  No pair leaves the task but those that unite.
+   members one is kept.  Lists of the same sets go to one task, with one sketch of
+   each.  There the operator's search tells which members may link across
+   components.  Only their token sets are loaded, and their pairs compared in the
+   order of their likeliness; a pair that links before have united is skipped.  No
+   pair leaves the task but those that unite.
 
 Only compared pairs are links.  A list is searched whole by one task up to ``BLOCK``
 members or ``SLOT_BYTES`` of token sets; longer ones are dealt into blocks that meet
@@ -38,8 +40,11 @@ SEGMENT = 1_500_000             # bytes of text whose sets are made together
 BUCKET_KEYS = 1_500_000
 BUCKET_BYTES = 128_000_000      # of keys in a bucket; more only if one key is very frequent
 FLUSH_KEYS = 2_000_000
-BLOCK = 1024                    # members of a list that one task searches
+BLOCK = 4096                    # members of a list that one task searches
 SLOT_BYTES = 32_000_000         # token sets of the lists that one task searches
+SLOT_ROWS = 2000                # members of lists for each slot
+WIDE = 32                       # bits a token, of the bitmaps that spare comparisons
+PAIR_BYTES = 64_000_000         # bitmaps of the pairs that are judged at once
 GROUP_BYTES = 16_000_000        # token sets that one comparison task holds
 SPREAD = 0x2545F4914F6CDD1D     # odd
 OTHER = np.uint64(0x9FB21C651E98DF25)
@@ -293,31 +298,79 @@ def common_tokens(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def wanted_sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """``node, n, tokens`` (bytes) of the wanted nodes, made again from their texts."""
-    first = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    wanted = staged(wanted, "wanted")
-    ids = staged(first.join(wanted, "node", "left_semi").select("first_id").distinct(), "wanted_ids")
+def bitmap_of(tokens: np.ndarray, bits: int) -> tuple[int, int]:
+    """A bitmap of at least ``bits`` bits a token, and its width."""
+    width = 64
+    while width < bits * len(tokens):
+        width *= 2
+    flags = np.zeros(width, np.uint8)
+    flags[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little"), width
+
+
+def folded(bits: int, width: int, to: int) -> int:
+    """A bitmap of fewer bits: what the tokens would have set in that one."""
+    while width > to:
+        width //= 2
+        bits = (bits & ((1 << width) - 1)) | (bits >> width)
+    return bits
+
+
+def wanted_sets(
+    docs: DataFrame, wanted: DataFrame, firsts: DataFrame, words: int, sketch: Callable | None = None
+) -> DataFrame:
+    """``node, n, tokens`` (bytes, or their sketch) of the wanted nodes, made from their texts.
+
+    ``firsts (its, first_id, many)`` names a document of each node; ``many`` marks
+    ids of several rows, whose texts may be of other nodes or repeated.
+    """
+    ids = staged(
+        firsts.join(wanted.distinct(), F.col("its") == F.col("node"), "left_semi")
+        .groupBy("first_id").agg(F.max("many").alias("many")),
+        "wanted",
+    )
     texts = left_lookup(docs, ids, "doc_id", "first_id", "doc_id").filter("first_id is not null")
 
     def make(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts, many = batch.column("text").to_pylist(), batch.column("many")
             for here in segments(texts):
                 tokens, counts = token_sets(texts[here], words)
                 ends = np.cumsum(counts)
-                contents = [
-                    tokens[e - c : e].tobytes()
-                    for e, c in zip(ends.tolist(), counts.tolist(), strict=True)
-                ]
+                sets = [tokens[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+                contents = [sketch(t) if sketch and len(t) else t.tobytes() for t in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [id_column(set_ids(tokens, counts)), pa.array(counts), pa.array(contents, pa.binary())],
-                    names=["node", "n", "tokens"],
+                    [id_column(set_ids(tokens, counts)), pa.array(counts), pa.array(contents, pa.binary()),
+                     many.slice(here.start, len(counts))],
+                    names=["node", "n", "tokens", "many"],
                 )
 
-    made = texts.select("text").mapInArrow(make, "node binary, n long, tokens binary").filter("n > 0")
-    # an id may stand for several texts: other nodes leave, and repeated ones
-    return staged(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    made = staged(
+        texts.select("text", "many")
+        .mapInArrow(make, "node binary, n long, tokens binary, many boolean").filter("n > 0"),
+        "sets",
+    )
+    again = made.filter("many").drop("many").dropDuplicates(["node"])
+    return made.filter("not many").drop("many").unionByName(again)
+
+
+def likely(pairs: DataFrame, drawn: DataFrame, may: Callable) -> DataFrame:
+    """The pairs whose sketches do not rule a link out."""
+    both = pairs.join(
+        drawn.select(F.col("node").alias("of_a"), F.col("tokens").alias("x")), F.col("a") == F.col("of_a")
+    ).join(
+        drawn.select(F.col("node").alias("of_b"), F.col("tokens").alias("y")), F.col("b") == F.col("of_b")
+    )
+
+    def keep(batches):
+        for batch in batches:
+            good = [
+                may(x, y) for x, y in
+                zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return staged(both.select("a", "b", "x", "y").mapInArrow(keep, "a binary, b binary"), "likely")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -389,11 +442,11 @@ def open_lists(lists: DataFrame, labels: DataFrame, sets: DataFrame, block: int)
     ).select("of", (F.col("n") * 8).alias("bytes"), "root")
     rooted = staged(
         lists.select("key", "node").join(known, F.col("node") == F.col("of"))
-        .select("key", "node", "bytes", F.coalesce("root", "node").alias("root")),
+        .select("key", "node", F.col("bytes").alias("its_bytes"), F.coalesce("root", "node").alias("root")),
         "rooted",
     )
     contents = rooted.groupBy("key").agg(
-        F.count("*").alias("size"), F.sum("bytes").alias("bytes"),
+        F.count("*").alias("size"), F.sum("its_bytes").alias("bytes"),
         F.min("root").alias("low"), F.max("root").alias("high"),
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("one"),
         F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("two"),
@@ -403,14 +456,22 @@ def open_lists(lists: DataFrame, labels: DataFrame, sets: DataFrame, block: int)
         .select("of", "size", "bytes", "low"),
         "open",
     )
+    members = share_join(rooted, chosen, "key", "of", "size")
+    distinct = (
+        members.select("low", "node", (F.col("its_bytes")).alias("b")).distinct()
+        .groupBy(F.col("low").alias("its")).agg(F.sum("b").alias("distinct"))
+    )
+    # lists that share a smallest component stay together if its sets fit, else each part does
     by_low = staged(
-        chosen.groupBy(F.col("low").alias("its_low")).agg(
-            F.count("*").alias("lists"), F.ceil(F.sum("bytes") / SLOT_BYTES).alias("parts")
-        ),
+        chosen.groupBy(F.col("low").alias("its_low"))
+        .agg(F.count("*").alias("lists"), F.sum("bytes").alias("bytes"))
+        .join(distinct, F.col("its_low") == F.col("its"))
+        .select("its_low", "lists", F.when(F.col("distinct") <= SLOT_BYTES, 1)
+                .otherwise(F.ceil(F.col("bytes") / SLOT_BYTES)).alias("parts")),
         "lows",
     )
-    whole = chosen.agg(F.sum("bytes")).first()[0] or 0
-    slots = F.lit(int(whole) // SLOT_BYTES + 1)
+    whole = chosen.agg(F.sum("size")).first()[0] or 0
+    slots = F.lit(int(whole) // SLOT_ROWS + 1)
     blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("bytes") / SLOT_BYTES))
     placed = staged(
         share_join(chosen, by_low, "low", "its_low", "lists").select(
@@ -435,17 +496,16 @@ def open_lists(lists: DataFrame, labels: DataFrame, sets: DataFrame, block: int)
     )
 
 
+NOTHING = (np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))
+
+
 class Reunion:
-    """What a task knows of the sets of its lists."""
+    """What a task knows of the components of its lists."""
 
-    def __init__(self, nodes: list[bytes], tokens: list[np.ndarray], sketch, threshold):
-        self.number = {node: i for i, node in enumerate(nodes)}
-        self.nodes, self.tokens, self.threshold = nodes, tokens, threshold
-        self.sketches = [sketch(t) for t in tokens]
+    def __init__(self, sketches: dict[bytes, bytes], tokens: dict[bytes, np.ndarray] | None, threshold):
+        self.sketches, self.tokens, self.threshold = sketches, tokens, threshold
         self.up: dict = {}
-        self.apart: set = set()
-        self.done: list[int] = []           # bitmaps of the members of lists behind us
-        self.links: list[tuple[int, int]] = []
+        self.links: list[tuple[bytes, bytes]] = []
 
     def find(self, name):
         while (above := self.up.get(name, name)) != name:
@@ -453,32 +513,139 @@ class Reunion:
             name = above
         return name
 
-    def settle(self, members: list[int], roots: list[bytes], sides, search) -> None:
-        """Compare the pairs that the search proposes, likeliest first."""
+    def propose(self, nodes: list[bytes], roots: list[bytes], sides, search) -> tuple:
+        """Arrays ``score, x, y`` of the pairs that may link."""
         roots = [self.find(r) for r in roots]
         if len(set(roots)) == 1:
+            return NOTHING
+        return search([self.sketches[n] for n in nodes], roots, sides)
+
+    def settle(self, nodes: list[bytes], roots: list[bytes], sides, search) -> None:
+        """Compare the proposed pairs, likeliest first."""
+        score, first, second = self.propose(nodes, roots, sides, search)
+        if not len(score):
             return
-        fresh = None
-        if sides is None:
-            # pairs that met in one list behind us need not meet again
-            bits = sum(1 << m for m in members)
-            behind = max(self.done, key=lambda x: (x & bits).bit_count(), default=0)
-            self.done.append(bits)
-            fresh = [not behind >> m & 1 for m in members]
-        found = search([self.sketches[m] for m in members], roots, sides, fresh)
+        order = np.argsort(-score, kind="stable")
+        first, second = first[order], second[order]
+        tokens = [self.tokens[n] for n in nodes]
+        sizes = np.array([len(t) for t in tokens])
+        bits = wide_bitmaps(tokens)
+        hidden = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
         num, den = self.threshold
-        for _, x, y in sorted(found, reverse=True):
-            a, b = members[x], members[y]
-            pair = (min(a, b), max(a, b))
-            if pair in self.apart or self.find(roots[x]) == self.find(roots[y]):
-                continue
-            common = common_tokens(self.tokens[a], self.tokens[b])
-            if den * common >= num * (len(self.tokens[a]) + len(self.tokens[b]) - common):
-                first, second = self.find(roots[x]), self.find(roots[y])
-                self.up[max(first, second)] = min(first, second)
-                self.links.append(pair)
-            else:
-                self.apart.add(pair)
+        step = max(PAIR_BYTES // bits[0].nbytes, 1)
+        for at in range(0, len(first), step):
+            now = np.unique(np.array([self.find(r) for r in roots], object), return_inverse=True)[1]
+            x, y = first[at : at + step], second[at : at + step]
+            apart = now[x] != now[y]
+            x, y = x[apart], y[apart]
+            most = np.bitwise_count(bits[x] & bits[y]).sum(1, dtype=np.int64)
+            most += np.minimum(hidden[x], hidden[y])
+            able = (num + den) * most >= num * (sizes[x] + sizes[y])
+            for i, j in zip(x[able].tolist(), y[able].tolist(), strict=True):
+                above, below = self.find(roots[i]), self.find(roots[j])
+                if above == below:
+                    continue
+                common = common_tokens(tokens[i], tokens[j])
+                if den * common >= num * (len(tokens[i]) + len(tokens[j]) - common):
+                    self.up[max(above, below)] = min(above, below)
+                    self.links.append((nodes[i], nodes[j]))
+
+
+def wide_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of words for each set, with at least ``WIDE`` bits a token."""
+    width = 64
+    while width < WIDE * max(map(len, sets)):
+        width *= 2
+    flags = np.zeros(width, np.uint8)
+    rows = np.empty((len(sets), width // 64), np.uint64)
+    for i, tokens in enumerate(sets):
+        at = (tokens & np.uint64(width - 1)).astype(np.int64)
+        flags[at] = 1
+        rows[i] = np.packbits(flags).view(np.uint64)
+        flags[at] = 0
+    return rows
+
+
+PLACE = ["slot", "i", "j"]
+
+
+def with_contents(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """One row for each set of each place, with its tokens or sketch."""
+    places = opened.select(
+        F.col("slot").alias("in_slot"), F.col("i").alias("in_i"), F.col("j").alias("in_j"),
+        F.col("node").alias("member"),
+    ).distinct()
+    return places.join(sets.select("node", "tokens"), F.col("member") == F.col("node")).drop("node")
+
+
+def each_list(lists: pa.Table):
+    """Key, nodes, roots and sides of the lists of a table, long ones first.
+
+    Lists of much the same members become one, of at most twice the longest's
+    length, so that their pairs meet once.
+    """
+    keys = lists.column("key").to_numpy()
+    order = np.argsort(keys, kind="stable")
+    nodes, roots = lists.column("node").to_pylist(), lists.column("root").to_pylist()
+    runs = sorted(zip(*groups_of(keys[order]), strict=True), key=lambda r: (-r[1], r[0]))
+    lists_of = [order[begin : begin + size].tolist() for begin, size in runs]
+    if lists.num_rows and lists.column("i")[0].as_py() != lists.column("j")[0].as_py():
+        sides = lists.column("side").to_pylist()
+        for here in lists_of:
+            yield (
+                int(keys[here[0]]), [nodes[x] for x in here], [roots[x] for x in here],
+                [sides[x] for x in here],
+            )
+        return
+    number, root_of = {}, {}
+    for node, root in zip(nodes, roots, strict=True):
+        number.setdefault(node, len(number))
+        root_of[node] = root
+    names = list(number)
+    merged: list[list[int]] = []            # key, bitmap of the members, most members
+    for here in lists_of:
+        bits = sum(1 << number[nodes[x]] for x in here)
+        best = max(merged, key=lambda m: (m[1] & bits).bit_count(), default=None)
+        if best and 5 * (best[1] & bits).bit_count() >= 3 * len(here) and (
+            (best[1] | bits).bit_count() <= best[2]
+        ):
+            best[1] |= bits
+        else:
+            merged.append([int(keys[here[0]]), bits, 2 * len(here)])
+    for key, bits, _ in merged:
+        members = [names[i] for i, flag in enumerate(reversed(f"{bits:b}")) if flag == "1"]
+        yield key, members, [root_of[m] for m in members], None
+
+
+def proposed_members(opened: DataFrame, drawn: DataFrame, search: Callable) -> DataFrame:
+    """The members of open lists that the search pairs with any other one.
+
+    ``search(sketches, roots, sides)`` returns arrays ``score, x, y`` for the positions
+    of sets that may link: of different roots, on different sides if there are sides.
+    """
+
+    def look(lists: pa.Table, loads: pa.Table) -> pa.Table:
+        work = Reunion(
+            dict(zip(loads.column("member").to_pylist(), loads.column("tokens").to_pylist(), strict=True)),
+            None, None,
+        )
+        rows = []
+        for key, nodes, roots, sides in each_list(lists):
+            _, first, second = work.propose(nodes, roots, sides, search)
+            for x in np.union1d(first, second).tolist():
+                rows.append((key, nodes[x], roots[x], sides[x] if sides else 0))
+        place = [lists.column(c)[0].as_py() if lists.num_rows else None for c in PLACE]
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(
+            [pa.int64(), pa.binary(), pa.binary(), pa.int32()])]
+        return pa.table(
+            [pa.array([v] * len(rows), pa.int64()) for v in place] + columns,
+            names=[*PLACE, "key", "node", "root", "side"],
+        )
+
+    found = opened.groupBy(*PLACE).cogroup(
+        with_contents(opened, drawn).groupBy("in_slot", "in_i", "in_j")
+    ).applyInArrow(look, "slot long, i long, j long, key long, node binary, root binary, side int")
+    return staged(found, "proposed")
 
 
 def settled_links(
@@ -486,45 +653,26 @@ def settled_links(
 ) -> DataFrame:
     """Links ``a, b`` that unite the components of the open lists.
 
-    ``sketch(tokens)`` is the short form of a set; ``search(sketches, roots, sides,
-    fresh)`` returns ``score, x, y`` for the positions of sets that may link: of
-    different roots, on different sides if there are sides, one of them fresh.
     Within a task a pair is compared only if no link has united it before, so the
     links are at most one fewer than the sets.
     """
-    opened = staged(opened, "opened")
-    places = opened.select(
-        F.col("slot").alias("in_slot"), F.col("i").alias("in_i"), F.col("j").alias("in_j"),
-        F.col("node").alias("member"),
-    ).distinct()
-    loads = places.join(sets.select("node", "tokens"), F.col("member") == F.col("node")).drop("node")
 
     def look(lists: pa.Table, loads: pa.Table) -> pa.Table:
-        work = Reunion(
-            loads.column("member").to_pylist(),
-            [np.frombuffer(t, np.uint64) for t in loads.column("tokens").to_pylist()],
-            sketch, threshold,
-        )
-        keys = lists.column("key").to_numpy()
-        order = np.argsort(keys, kind="stable")
-        members = [work.number[x] for x in lists.column("node").to_pylist()]
-        roots, sides = lists.column("root").to_pylist(), lists.column("side").to_pylist()
-        across = lists.num_rows and lists.column("i")[0].as_py() != lists.column("j")[0].as_py()
-        runs = sorted(zip(*groups_of(keys[order]), strict=True), key=lambda r: -r[1])
-        for begin, size in runs:
-            here = order[begin : begin + size].tolist()
-            work.settle(
-                [members[x] for x in here], [roots[x] for x in here],
-                [sides[x] for x in here] if across else None, search,
-            )
+        tokens = {
+            node: np.frombuffer(t, np.uint64) for node, t in
+            zip(loads.column("member").to_pylist(), loads.column("tokens").to_pylist(), strict=True)
+        }
+        work = Reunion({node: sketch(t) for node, t in tokens.items()}, tokens, threshold)
+        for _, nodes, roots, sides in each_list(lists):
+            work.settle(nodes, roots, sides, search)
         return pa.table({
-            "a": pa.array([work.nodes[x] for x, _ in work.links], pa.binary()),
-            "b": pa.array([work.nodes[y] for _, y in work.links], pa.binary()),
+            "a": pa.array([x for x, _ in work.links], pa.binary()),
+            "b": pa.array([y for _, y in work.links], pa.binary()),
         })
 
-    links = opened.groupBy("slot", "i", "j").cogroup(loads.groupBy("in_slot", "in_i", "in_j")).applyInArrow(
-        look, "a binary, b binary"
-    )
+    links = opened.groupBy(*PLACE).cogroup(
+        with_contents(opened, sets).groupBy("in_slot", "in_i", "in_j")
+    ).applyInArrow(look, "a binary, b binary")
     return staged(links, "links")
 
 
@@ -539,6 +687,7 @@ def shingle_components(
     make_keys: Callable,
     keys_a_byte: float,
     sketch: Callable,
+    may: Callable,
     search: Callable,
     narrow: Callable[[DataFrame], DataFrame] = lambda lists: lists,
     id_col: str = "doc_id",
@@ -564,13 +713,24 @@ def shingle_components(
     if lists.limit(1).count() == 0:
         labels = empty_labels(rows)
     else:
-        sets = wanted_sets(source, lists.select("node").distinct(), rows, words)
-        links = compared(staged(first_pairs(lists), "first_pairs"), sets, threshold)
+        twice = rows.groupBy("doc_id").agg((F.count("*") > 1).alias("many"))
+        firsts = (
+            rows.filter("n > 0").groupBy(F.col("node").alias("its")).agg(F.min("doc_id").alias("doc_id"))
+            .join(twice, "doc_id").select("its", F.col("doc_id").alias("first_id"), "many")
+        )
+        firsts = staged(firsts, "firsts")
+        drawn = wanted_sets(source, lists.select("node"), firsts, words, sketch)
+        pairs = likely(staged(first_pairs(lists), "first_pairs"), drawn, may)
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        links = compared(pairs, wanted_sets(source, ends, firsts, words), threshold)
         labels = connected_components(links)
-        more = settled_links(open_lists(lists, labels, sets, block), sets, sketch, search, threshold)
-        if more.limit(1).count():
+        opened = staged(open_lists(lists, labels, drawn, block), "opened")
+        members = proposed_members(opened, drawn, search)
+        if members.limit(1).count():
+            sets = wanted_sets(source, members.select("node"), firsts, words)
+            more = settled_links(members, sets, sketch, search, threshold)
             labels = connected_components(links.unionByName(more))
-        discard(sets, lists)
+        discard(lists, opened)
     named = left_lookup(
         rows, labels.select(F.col("node").alias("known"), "root"), "node", "known", "doc_id"
     ).withColumn("root", F.coalesce("root", "node"))

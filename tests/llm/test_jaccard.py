@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,15 +148,14 @@ def test_occurrences_by_prefix_and_skips():
         lists = [sorted(rng.sample(range(30), rng.randint(0, 12))) for _ in range(rng.randint(0, 9))]
         least = rng.randint(1, 6)
         times = {x: sum(x in y for y in lists) for x in range(30)}
-        want = {(n, x) for x, n in times.items() if n >= least}
-        assert set(occurring(lists, least)) == want
+        want = {(x, n) for x, n in times.items() if n >= least}
+        found = occurring([np.array(x, int) for x in lists], least)
+        assert set(zip(*(x.tolist() for x in found), strict=True)) == want
 
 
 @pytest.mark.parametrize("search", [tree_search((80, 100)), collision_search])
 def test_searches_propose_all_that_link(search):
-    """Whatever is fresh, whatever the sides: no linked pair that may meet is left out."""
-    import numpy as np
-
+    """Whatever the sides: no linked pair that may meet is left out."""
     draw = bitmap_sketch if search is not collision_search else signature_sketch
     rows = corpus(11, 40, 80)
     tokens, counts = meeting.token_sets([t for _, t in rows], 3)
@@ -165,16 +165,15 @@ def test_searches_propose_all_that_link(search):
     for _ in range(6):
         members = rng.sample([i for i in range(len(sets)) if len(sets[i])], 70)
         roots = [rng.choice("abcdefghijkl") for _ in members]
-        fresh = [rng.random() < 0.3 for _ in members]
         sides = rng.choice([None, [rng.randint(0, 1) for _ in members]])
-        found = search([draw(sets[m]) for m in members], roots, sides, None if sides else fresh)
-        got = {frozenset(x[1:]) for x in found}
+        found = search([draw(sets[m]) for m in members], roots, sides)
+        got = {frozenset(x) for x in zip(found[1].tolist(), found[2].tolist(), strict=True)}
         assert all(roots[x] != roots[y] for x, y in map(tuple, got))
         for x in range(70):
             for y in range(x):
                 a, b = sets[members[x]], sets[members[y]]
                 common = meeting.common_tokens(a, b)
-                meets = sides[x] != sides[y] if sides else fresh[x] or fresh[y]
+                meets = not sides or sides[x] != sides[y]
                 if meets and roots[x] != roots[y] and 100 * common >= 85 * (len(a) + len(b) - common):
                     assert frozenset((x, y)) in got
 
@@ -192,8 +191,6 @@ def test_keep_one_passes_any_columns(spark):
 
 
 def test_set_ids_tell_sets_apart():
-    import numpy as np
-
     tokens, counts = meeting.token_sets([f"a{i} b c{i % 7} d e" for i in range(3000)], 3)
     ids = meeting.set_ids(tokens, counts)
     assert len(np.unique(ids[:, 0])) == len(np.unique(ids[:, 1])) == 3000
