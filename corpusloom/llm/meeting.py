@@ -37,9 +37,9 @@ from corpusloom.llm.components import connected_components
 from corpusloom.llm.packing import LAST, groups_of, mixed
 
 SEGMENT = 1_500_000             # bytes of text whose sets are made together
-BUCKET_KEYS = 1_500_000
+BUCKET_KEYS = 400_000
 BUCKET_BYTES = 128_000_000      # of keys in a bucket; more only if one key is very frequent
-FLUSH_KEYS = 2_000_000
+FLUSH_KEYS = 1_000_000
 BLOCK = 4096                    # members of a list that one task searches
 SLOT_BYTES = 32_000_000         # token sets of the lists that one task searches
 SLOT_ROWS = 2000                # members of lists for each slot
