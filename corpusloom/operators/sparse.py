@@ -104,20 +104,27 @@ def neighbour_pairs(
 ) -> DataFrame:
     """``a, b, n`` with a < b: how often two terms stand within ``span`` tokens.
 
-    Each token meets only the next ``span`` tokens of its own text, so the work
-    is linear in the text and a long text does not give all pairs of its terms.
+    A text's tokens are paired with the same tokens moved by one to ``span``
+    places, inside its row: nothing is sorted, a long text is one row of linear
+    size, and pairs are counted before they leave their task.  ``colocate``
+    spreads the texts first, which a table of few or uneven files needs; leave
+    it out where the files are many or bucketed, and no text is shuffled.
     """
     texts = df.select(id_col, text_col)
     if colocate:
         texts = texts.repartition(id_col)
-    tokens = posexplode_items(texts, [id_col], tokenize(F.col(text_col)), "pos", "term")
-    order = Window.partitionBy(id_col).orderBy("pos")
-    following = [F.lead("term", step).over(order).alias(f"t{step}") for step in range(1, span + 1)]
-    met = tokens.select("term", *following).select(
-        "term", F.explode(F.array(*[f"t{step}" for step in range(1, span + 1)])).alias("other")
-    )
+    tokens = texts.select(tokenize(F.col(text_col)).alias("tokens"))
+    count = F.size("tokens")
+    moved = [
+        F.arrays_zip(
+            F.slice("tokens", F.lit(1), F.greatest(count - step, F.lit(0))).alias("term"),
+            F.slice("tokens", F.lit(1 + step), F.greatest(count - step, F.lit(0))).alias("other"),
+        )
+        for step in range(1, span + 1)
+    ]
+    met = explode_items(tokens, [], F.flatten(F.array(*moved)), "p").select("p.term", "p.other")
     return (
-        met.filter("other is not null and other <> term")
+        met.filter("other <> term")
         .groupBy(F.least("term", "other").alias("a"), F.greatest("term", "other").alias("b"))
         .agg(F.count("*").alias("n"))
     )
