@@ -202,6 +202,22 @@ bounds as materialized (
   from (select unnest(embedding)::double as x from embeddings))
 """
 
+CELLS = """
+unit as materialized (
+  select chunk_id, list_transform(v, lambda x: x::double / sqrt(list_dot_product(v::double[], v::double[]))) as u
+  from corpus where list_dot_product(v::double[], v::double[]) > 0),
+centres as materialized (select chunk_id as cell, u as c from unit where chunk_id % 25 = 0),
+ranked as materialized (
+  select chunk_id, cell, row_number() over (partition by chunk_id
+    order by round(list_dot_product(c, c) - 2 * list_dot_product(u, c), 9), cell) as place
+  from unit, centres),
+near as materialized (
+  select query_id, cos.chunk_id, score from cos
+  join ranked asked on asked.chunk_id = cos.query_id
+  join ranked home on home.chunk_id = cos.chunk_id and home.cell = asked.cell
+  where home.place = 1 and asked.place <= (select ceil(count(*) / 4.0) from centres))
+"""
+
 CODE_OF = "round((least(greatest(x::double, lo), hi) - lo) / (hi - lo) * 255) - 128"
 
 QUANTIZED = f"""
@@ -539,6 +555,7 @@ from documents join embeddings on doc_id = vec_id""",
 select doc_id as chunk_id, text from documents
 union all select page_id, html from pages""",
     "dense_topk": build([VEC], top("cos", 10)),
+    "ann_topk": build([VEC, CELLS], top("near", 10)),
     "sparse_topk": build([TOKENS, NEIGHBOURS, EXPANDED], top("wide_dot", 10)),
     "bm25_search": build([TOKENS, BM25], top("bm25_dot", 10)),
     "quantized_topk": build([VEC, BOUNDS, QUANTIZED], "select * from rescored"),

@@ -469,23 +469,31 @@ def bm25_search(spark, folder):
     return retrieval.bm25_search(asks(spark, folder), docs(spark, folder))
 
 
+def chosen_cells(corpus):
+    """Every 25th vector, at length one, as the centre of a cell."""
+    chosen = ann.unit_vectors(corpus.filter("chunk_id % 25 = 0"), "dense")
+    return chosen.select(F.col("chunk_id").cast("int").alias("cell"), F.col("dense").alias("centre"))
+
+
 @query
 def ann_topk(spark, folder):
+    """Cells about centres chosen by a rule; a quarter of them is probed."""
     corpus, queries = vectors(spark, folder), vector_asks(spark, folder)
-    return search_cells(corpus, queries, 10)
-
-
-def search_cells(corpus, queries, k):
-    return ann.ann_topk(queries, corpus, k, ann.fit_cells(corpus))
+    centres = chosen_cells(corpus)
+    return ann.ann_topk(queries, corpus, 10, centres, -(-centres.count() // 4))
 
 
 @query
 def ann_recall(spark, folder):
+    """Cells fitted by k-means; the probes are measured for recall 0.95."""
     corpus, queries = vectors(spark, folder), vector_asks(spark, folder)
+    centres = ann.fit_cells(corpus)
+    ensure_checkpoint_dir(spark)
+    index = ann.index_cells(corpus, centres).checkpoint()
+    probes = ann.probes_for_recall(queries, index, centres, 10)
     truth = evaluate.exact_ground_truth(queries, corpus, 10)
-    return evaluate.mean_recall(
-        evaluate.recall_at_k(queries, truth, search_cells(corpus, queries, 10), 10)
-    )
+    found = ann.ann_topk(queries, index, 10, centres, probes)
+    return evaluate.mean_recall(evaluate.recall_at_k(queries, truth, found, 10))
 
 
 @query

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -83,15 +84,87 @@ def test_quantization(spark):
         retrieval.quantization_benchmark(queries.filter("query_id < 0"), corpus)
 
 
+@pytest.mark.parametrize("bins", [4, 65_536])
+def test_quantiles_are_exact(spark, bins):
+    rng = random.Random(3)
+    values = [rng.gauss(0, 1) for _ in range(3000)] + [0.25] * 500 + [1e300, -1e300, 1e-300, 5.0]
+    odd = [None, float("nan"), float("inf"), -float("inf")]
+    rows = spark.createDataFrame([(v,) for v in values + odd], "v double")
+    asked_for = [0.0, 0.005, 0.3, 0.5, 0.55, 0.995, 1.0]
+    ordered = sorted(values)
+    expected = [ordered[max(1, math.ceil(round(q * len(ordered), 6))) - 1] for q in asked_for]
+    assert quantize.exact_quantiles(rows, asked_for, bins=bins) == expected
+    assert quantize.exact_quantiles(rows.filter("v is null"), asked_for) == [None] * 7
+
+
+def test_quantiles_of_over_a_million_values(spark):
+    # a permutation of 0 .. 2999999, cut beyond any sketch of a million entries
+    rows = spark.range(3_000_000).select(((F.col("id") * 1_000_003) % 3_000_000).alias("v"))
+    found = quantize.exact_quantiles(rows, [0.005, 0.1234567, 0.995])
+    assert found == [14999.0, 370370.0, 2984999.0]
+
+
 def test_ann_with_every_cell_is_exact(spark):
     corpus, queries = frame(spark, vectors(120)), asked(spark, vectors(10, seed=6))
-    model = ann.fit_cells(corpus, cells=4)
+    centres = ann.fit_cells(corpus, cells=4)
     exact = hits(search.dense_topk(queries, corpus, 5))
-    assert hits(ann.ann_topk(queries, corpus, 5, model, probes=4)) == exact
-    some = ann.ann_topk(queries, corpus, 5, model, probes=2)
+    assert hits(ann.ann_topk(queries, corpus, 5, centres, probes=4)) == exact
+    some = ann.ann_topk(queries, corpus, 5, centres, probes=2)
     assert {h[0] for h in hits(some)} <= set(range(10))
 
 
+def clustered(n, seed=1, dim=16, clusters=10):
+    rng = random.Random(seed)
+    heads = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(clusters)]
+    return [
+        (i, [x + rng.gauss(0, 0.4) for x in heads[rng.randrange(clusters)]]) for i in range(n)
+    ]
+
+
+def test_ann_finds_nearly_all_for_a_quarter_of_the_pairs(spark):
+    corpus = frame(spark, clustered(20_000)).repartition(8).persist()
+    queries = corpus.filter("chunk_id % 50 = 0").select(
+        F.col("chunk_id").alias("query_id"), F.col("dense").alias("vector")
+    )
+    centres = ann.fit_cells(corpus)
+    assert centres.count() == 141
+    index = ann.index_cells(corpus, centres).persist()
+    probes = ann.probes_for_recall(queries, index, centres, 10)
+    truth = evaluate.exact_ground_truth(queries, corpus, 10)
+    found = ann.ann_topk(queries, index, 10, centres, probes)
+    assert evaluate.mean_recall(evaluate.recall_at_k(queries, truth, found, 10)).first()[0] >= 0.94
+    assert ann.scored_share(queries, index, centres, probes) <= 0.25
+    # the plan moves vectors of asked cells only, and never a query with all of them
+    few = ann.ann_topk(queries.limit(1), index, 10, centres, probes)
+    assert few.count() == 10
+
+
+def test_ann_splits_crowded_cells_and_their_queries(spark, monkeypatch):
+    same = [(i, [1.0, 0.001 * i, 0.0]) for i in range(60)]
+    rows = same + [(i, [0.0, 0.0, 1.0]) for i in range(60, 66)]
+    corpus = frame(spark, rows + [(7, [1.0, 0.007, 0.0])])
+    queries = asked(spark, rows)
+    centres = spark.createDataFrame([(0, [1.0, 0.0, 0.0]), (1, [0.0, 0.0, 1.0])], "cell int, centre array<double>")
+    whole = hits(ann.ann_topk(queries, corpus, 4, centres, 1))
+    monkeypatch.setattr(ann, "ASK_ROWS", 5)
+    index = ann.index_cells(corpus, centres, part_rows=8)
+    assert index.filter("cell = 0").agg(F.max("part")).first()[0] >= 5
+    assert hits(ann.ann_topk(queries, index, 4, centres, 1)) == whole
+    assert sum(1 for h in whole if h[0] == 7 and h[2] == 7) == 2
+
+
+def test_ann_leaves_out_what_has_no_direction(spark):
+    corpus = frame(spark, [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, []), (4, None), (5, [1.0, 0.0, 0.0])])
+    queries = asked(spark, [(1, [1.0, 0.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0])])
+    centres = spark.createDataFrame([(0, [1.0, 0.0])], "cell int, centre array<double>")
+    assert hits(ann.ann_topk(queries, corpus, 3, centres, 1)) == [(1, 1, 1, 1.0)]
+    assert hits(ann.ann_topk(queries.filter("query_id < 0"), corpus, 3, centres, 1)) == []
+    nothing = corpus.filter("chunk_id < 0")
+    assert hits(ann.ann_topk(queries, nothing, 3, ann.fit_cells(nothing), 1)) == []
+    with pytest.raises(ValueError):
+        ann.fit_cells(corpus)
+
+
 def test_fusion_sums_reciprocal_ranks(spark):
     def ranked(rows):
         return spark.createDataFrame(rows, "query_id long, chunk_id long, rank int")
