@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.embedding import embed_documents, embed_queries
 from corpusloom.operators.evaluate import exact_ground_truth, mean_recall, recall_at_k
+from corpusloom.operators.joins import lookup_join
 from corpusloom.operators.quantize import int8_fit, int8_quantize, quantized_topk
 from corpusloom.operators.search import (
     attach_payload,
@@ -51,48 +53,87 @@ def bm25_search(queries: DataFrame, chunks: DataFrame, limit: int = LIMIT) -> Da
     return sparse_topk(wanted, weights, limit, idf=idf_table(terms, stats))
 
 
-def channel_hits(
+class Asked(NamedTuple):
+    """What the sparse channels and the reranker read, counted once."""
+
+    query_counts: DataFrame     # query_id, dl, term, tf
+    wide_queries: DataFrame     # query_id, term, weight
+    postings: DataFrame         # chunk_id, dl, term, tf: terms the queries can reach
+    terms: DataFrame            # term, df of those
+    stats: DataFrame
+    neighbours: DataFrame
+
+
+def asked_postings(
     queries: DataFrame,
     chunks: DataFrame,
-    per_channel: int,
-    embedder: Callable[[Column], Column] | None = None,
     neighbours: DataFrame | None = None,
     counts: DataFrame | None = None,
     stats: DataFrame | None = None,
-) -> dict[str, DataFrame]:
-    """Best chunks of the dense, expanded and bm25 channels.
+) -> Asked:
+    """Count the terms of the chunks in one pass, for the terms in question only.
 
-    ``chunks`` without a ``dense`` column is embedded on the way.  ``counts``,
-    ``stats`` and ``neighbours`` are taken from tables when given.
+    A query reaches its own terms, their neighbours, and the terms that have one
+    of those as a neighbour.  Other postings take part in no score, no document
+    frequency and no weight that is read, so they go before anything is
+    aggregated.  What is left is checkpointed: all channels read it.
     """
-    counts = term_counts(chunks) if counts is None else counts
-    terms = vocabulary(counts)
-    stats = corpus_stats(chunks) if stats is None else stats
+    ensure_checkpoint_dir(chunks.sparkSession)
     if neighbours is None:
-        ensure_checkpoint_dir(chunks.sparkSession)
         # used for documents and for queries: computed once
         neighbours = term_neighbours(chunks).checkpoint()
     query_counts = term_counts(queries, "query_id", "query")
+    wide_queries = expand_terms(query_counts, neighbours, "query_id").checkpoint()
+    asked = wide_queries.select("term").distinct()
+    bringing = lookup_join(
+        neighbours.select("term", "neighbour"),
+        asked.withColumnRenamed("term", "neighbour"), ["neighbour"], "term",
+    )
+    reached = asked.unionByName(bringing.select("term")).distinct().checkpoint()
+    counts = term_counts(chunks) if counts is None else counts
+    postings = lookup_join(counts, reached, ["term"], "chunk_id").select(
+        "chunk_id", "dl", "term", "tf"
+    ).checkpoint()
+    stats = (corpus_stats(chunks) if stats is None else stats).checkpoint()
+    return Asked(
+        query_counts, wide_queries, postings, vocabulary(postings).checkpoint(), stats, neighbours
+    )
+
+
+def channel_hits(
+    queries: DataFrame,
+    chunks: DataFrame,
+    per_channel: int,
+    embedder: Callable[[Column], Column] | None = None,
+    asked: Asked | None = None,
+) -> dict[str, DataFrame]:
+    """Best chunks of the dense, expanded and bm25 channels.
+
+    ``chunks`` without a ``dense`` column is embedded on the way.  ``asked`` is
+    the result of :func:`asked_postings`, where that has been called already.
+    """
+    asked = asked_postings(queries, chunks) if asked is None else asked
     if "dense" in chunks.columns:
         vectors = chunks
     else:
         vectors = embed_documents(
             chunks.select("chunk_id", "text").repartition("chunk_id"), embedder
         )
-    wide_queries = expand_terms(query_counts, neighbours, "query_id")
-    asked = wide_queries.select("term").distinct()
+    only = asked.wide_queries.select("term").distinct()
     return {
         "dense": dense_topk(embed_queries(queries, embedder), vectors, per_channel),
         "expanded": sparse_topk(
-            wide_queries,
-            expand_terms(counts, neighbours, only=asked),
+            asked.wide_queries,
+            expand_terms(asked.postings, asked.neighbours, only=only),
             per_channel,
         ),
         "bm25": sparse_topk(
-            bm25_weights(queries, "query_id", "query", stats=stats, counts=query_counts),
-            bm25_weights(chunks, stats=stats, counts=counts),
+            bm25_weights(
+                queries, "query_id", "query", stats=asked.stats, counts=asked.query_counts
+            ),
+            bm25_weights(chunks, stats=asked.stats, counts=asked.postings),
             per_channel,
-            idf=idf_table(terms, stats),
+            idf=idf_table(asked.terms, asked.stats),
         ),
     }
 
@@ -117,12 +158,8 @@ def hybrid_search(
     ``scorer=None`` keeps the fused order.  The result has ``query_id, rank,
     chunk_id, score, [rerank_score,]`` and the chunk's other columns.
     """
-    counts = term_counts(chunks) if counts is None else counts
-    terms = vocabulary(counts)
-    stats = corpus_stats(chunks) if stats is None else stats
-    hits = channel_hits(
-        queries, chunks, prefetch_factor * limit, embedder, neighbours, counts, stats
-    )
+    asked = asked_postings(queries, chunks, neighbours, counts, stats)
+    hits = channel_hits(queries, chunks, prefetch_factor * limit, embedder, asked)
     fused = rrf_fuse(union_candidates(**hits), fused_factor * limit)
     payload = [c for c in chunks.columns if c not in ("chunk_id", "dense")]
     small = few_rows(queries, fused_factor * limit)
@@ -132,7 +169,7 @@ def hybrid_search(
         shown = ["query_id", "rank", "chunk_id", "score"]
     else:
         if scorer == COVERAGE:
-            wanted = coverage_terms(queries, idf_table(terms, stats), stats)
+            wanted = coverage_terms(queries, idf_table(asked.terms, asked.stats), asked.stats)
             candidates = candidates.join(wanted, "query_id", "left")
             scorer = coverage_score(
                 F.coalesce("terms", F.create_map().cast("map<string,double>")), F.col("text")
