@@ -151,12 +151,14 @@ text_cos as materialized (
 """
 
 
-def channels(k: int) -> str:
+def channels(k: int, among: str = "{}") -> str:
+    """Candidates of the three channels; ``among`` turns a scored table into the
+    part of it that may be found."""
     return f"""
 cand as materialized (
-  select 'dense' as channel, query_id, chunk_id, rank from ({top('text_cos', k)})
-  union all select 'expanded', query_id, chunk_id, rank from ({top('wide_dot', k)})
-  union all select 'bm25', query_id, chunk_id, rank from ({top('bm25_dot', k)}))
+  select 'dense' as channel, query_id, chunk_id, rank from ({top(among.format('text_cos'), k)})
+  union all select 'expanded', query_id, chunk_id, rank from ({top(among.format('wide_dot'), k)})
+  union all select 'bm25', query_id, chunk_id, rank from ({top(among.format('bm25_dot'), k)}))
 """
 
 
@@ -569,6 +571,28 @@ union all select page_id, html from pages""",
         "select query_id, rank, chunk_id, score, rerank_score, source from reranked "
         "join documents on doc_id = chunk_id",
     ),
+    "filtered_search": build(
+        [
+            "documents as materialized (select * from main.documents where source <> 'src7')",
+            HYBRID, channels(250), FUSED, COVERAGE, coverage("fused"),
+        ],
+        "select query_id, rank, chunk_id, score, rerank_score, source from reranked "
+        "join documents on doc_id = chunk_id",
+    ),
+    "matched_search": build(
+        [
+            HYBRID,
+            """allowed as materialized (
+  select query_id, chunk_id from (
+    select query_id, term from qcnt where length(term) between 2 and 20
+    qualify row_number() over (partition by query_id order by length(term) desc, term) = 1)
+  join cnt using (term))""",
+            channels(250, "(select * from {} semi join allowed using (query_id, chunk_id))"),
+            FUSED, COVERAGE, coverage("fused"),
+        ],
+        "select query_id, rank, chunk_id, score, rerank_score, source from reranked "
+        "join documents on doc_id = chunk_id",
+    ),
     "exact_ground_truth": build([VEC], f"select query_id, chunk_id from ({top('cos', 10)})"),
     "recall_at_k": build(
         [VEC, BOUNDS, QUANTIZED, RANKINGS],

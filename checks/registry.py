@@ -530,6 +530,27 @@ def hybrid_search(spark, folder):
     return retrieval.hybrid_search(asks(spark, folder), docs(spark, folder)).drop("text")
 
 
+@query
+def filtered_search(spark, folder):
+    """Hybrid search over the chunks of every source but one, by payload filter."""
+    return retrieval.hybrid_search(
+        asks(spark, folder), docs(spark, folder), where="source <> 'src7'"
+    ).drop("text")
+
+
+@query
+def matched_search(spark, folder):
+    """Hybrid search among the chunks that hold the query's longest term."""
+    chunks, queries, counts, _ = search_parts(spark, folder)
+    terms = sparse.term_counts(queries, "query_id", "query").filter("length(term) between 2 and 20")
+    longest = terms.groupBy("query_id").agg(
+        F.min(F.struct(-F.length("term"), "term"))["term"].alias("query")
+    )
+    return retrieval.hybrid_search(
+        queries, chunks, allowed=search.match_text(longest, counts)
+    ).drop("text")
+
+
 # --------------------------------------------------------- evaluation and metrics
 
 

@@ -94,9 +94,16 @@ def sparse_topk(
     k: int,
     id_col: str = "chunk_id",
     idf: DataFrame | None = None,
+    allowed: DataFrame | None = None,
 ) -> DataFrame:
-    """Best ``k`` chunks per query among those sharing a term with it."""
-    return rank_hits(sparse_dot(query_terms, postings, id_col, idf), k, id_col)
+    """Best ``k`` chunks per query among those sharing a term with it.
+
+    ``allowed`` (``query_id``, id) leaves only the pairs it lists, before ranking.
+    """
+    scored = sparse_dot(query_terms, postings, id_col, idf)
+    if allowed is not None:
+        scored = scored.join(allowed, ["query_id", id_col], "left_semi")
+    return rank_hits(scored, k, id_col)
 
 
 def match_text(query_texts: DataFrame, postings: DataFrame, id_col: str = "chunk_id") -> DataFrame:

@@ -17,6 +17,7 @@ from corpusloom.operators.search import (
     coverage_score,
     coverage_terms,
     dense_topk,
+    exact_rescore,
     few_rows,
     limit_per_query,
     min_score,
@@ -106,11 +107,15 @@ def channel_hits(
     per_channel: int,
     embedder: Callable[[Column], Column] | None = None,
     asked: Asked | None = None,
+    allowed: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Best chunks of the dense, expanded and bm25 channels.
 
     ``chunks`` without a ``dense`` column is embedded on the way.  ``asked`` is
     the result of :func:`asked_postings`, where that has been called already.
+    ``allowed`` (``query_id, chunk_id``, each pair once) names the only pairs
+    that may be found; every channel ranks after it, and the dense one computes
+    no other pair.
     """
     asked = asked_postings(queries, chunks) if asked is None else asked
     if "dense" in chunks.columns:
@@ -120,12 +125,16 @@ def channel_hits(
             chunks.select("chunk_id", "text").repartition("chunk_id"), embedder
         )
     only = asked.wide_queries.select("term").distinct()
+    points = embed_queries(queries, embedder)
     return {
-        "dense": dense_topk(embed_queries(queries, embedder), vectors, per_channel),
+        "dense": dense_topk(points, vectors, per_channel)
+        if allowed is None
+        else exact_rescore(allowed, points, vectors, per_channel),
         "expanded": sparse_topk(
             asked.wide_queries,
             expand_terms(asked.postings, asked.neighbours, only=only),
             per_channel,
+            allowed=allowed,
         ),
         "bm25": sparse_topk(
             bm25_weights(
@@ -134,6 +143,7 @@ def channel_hits(
             bm25_weights(chunks, stats=asked.stats, counts=asked.postings),
             per_channel,
             idf=idf_table(asked.terms, asked.stats),
+            allowed=allowed,
         ),
     }
 
@@ -150,6 +160,8 @@ def hybrid_search(
     threshold: float | None = None,
     prefetch_factor: int = PREFETCH_FACTOR,
     fused_factor: int = FUSED_FACTOR,
+    where: Column | str | None = None,
+    allowed: DataFrame | None = None,
 ) -> DataFrame:
     """Answer a table ``query_id, query`` over ``chunk_id, text, ...``.
 
@@ -157,9 +169,25 @@ def hybrid_search(
     ``fused_factor * limit``; reranking orders those and ``limit`` remain.
     ``scorer=None`` keeps the fused order.  The result has ``query_id, rank,
     chunk_id, score, [rerank_score,]`` and the chunk's other columns.
+
+    Two filters act below the channels, so a query gets ``limit`` hits wherever
+    so many chunks match.  ``where`` is a condition on the chunk's columns, the
+    same for all queries: other chunks are not there at all, also not for
+    statistics, document frequencies and neighbours that are not given.
+    ``allowed`` (``query_id, chunk_id``) lists what each query may find, such as
+    the result of :func:`match_text`; weights stay those of all chunks, and a
+    query without a row there finds nothing.
     """
+    if where is not None:
+        chunks = chunks.filter(where)
+        if counts is not None:
+            counts = counts.join(chunks.select("chunk_id"), "chunk_id", "left_semi")
+        stats = None
+    if allowed is not None:
+        ensure_checkpoint_dir(chunks.sparkSession)
+        allowed = allowed.select("query_id", "chunk_id").distinct().checkpoint()
     asked = asked_postings(queries, chunks, neighbours, counts, stats)
-    hits = channel_hits(queries, chunks, prefetch_factor * limit, embedder, asked)
+    hits = channel_hits(queries, chunks, prefetch_factor * limit, embedder, asked, allowed)
     fused = rrf_fuse(union_candidates(**hits), fused_factor * limit)
     payload = [c for c in chunks.columns if c not in ("chunk_id", "dense")]
     small = few_rows(queries, fused_factor * limit)

@@ -250,3 +250,29 @@ def test_user_model_in_batches(spark):
     df = spark.createDataFrame([(1, "abc"), (2, "abcde")], "chunk_id long, text string")
     got = embedding.embed_documents(df, embedding.model_embedder(make_predict)).orderBy("chunk_id").collect()
     assert [list(r.dense) for r in got] == [[3.0, 0.0], [5.0, 0.0]]
+
+
+def test_filters_act_below_every_channel(spark):
+    words = "amber basin cedar delta ember fjord grove haven islet jetty".split()
+    rng = random.Random(5)
+    rows = [
+        (i, f"s{i % 4}", " ".join(rng.choice(words) for _ in range(12))) for i in range(80)
+    ] + [(80, "s0", None), (81, None, "amber basin"), (82, "s0", "")]
+    chunks = spark.createDataFrame(rows, "chunk_id long, source string, text string")
+    queries = spark.createDataFrame(
+        [(1, "amber delta"), (2, "jetty grove haven"), (3, "unknown")], "query_id long, query string"
+    )
+
+    def found(df):
+        return sorted((r.query_id, r.rank, r.chunk_id, r.score, r.rerank_score) for r in df.collect())
+
+    some = found(retrieval.hybrid_search(queries, chunks, 5, where="source = 's1'"))
+    assert some == found(retrieval.hybrid_search(queries, chunks.filter("source = 's1'"), 5))
+    assert {r[2] % 4 for r in some} == {1} and sum(r[0] == 1 for r in some) == 5
+
+    # seven chunks that rank low without the filter are all found with it
+    low = [(1, c) for c in (3, 9, 21, 33, 47, 58, 71)]
+    allowed = spark.createDataFrame(low + low[:2] + [(1, 999)], "query_id long, chunk_id long")
+    got = found(retrieval.hybrid_search(queries, chunks, 10, allowed=allowed))
+    assert {(r[0], r[2]) for r in got} == set(low)
+    assert found(retrieval.hybrid_search(queries, chunks, 5, where="source = 'none'")) == []
