@@ -2,9 +2,16 @@
 
 Every vector is projected to a few dimensions, several times with other axes and
 another shift, and each projection is put into the order of a Hilbert curve.
-Spark sorts each order by range partitioning.  A query meets the vectors of the
-windows around its own place in every order; the best of all windows are merged
-and ranked by their exact inner products.
+Spark sorts each order by range partitioning; only keys and ids are sorted.  A
+query meets the vectors within a fixed number of places around its own in every
+order (the radius), as 8-bit codes; the best of all windows are merged and
+reranked by the exact inner products of the original vectors.
+
+The axes lie in the leading principal directions of a bounded sample, and cells
+are quantiles of that sample.  The radius is measured: a bounded sample of
+queries is answered exactly, and the radius is the distance on the curves within
+which the wanted share of their true neighbours lies.  It does not follow from
+the size of the table, but vectors without any structure need a large one.
 
 Largest inner product is turned into nearness on a sphere by one more coordinate
 that brings every vector to the largest length.  Equal vectors are one point of
@@ -13,6 +20,8 @@ the index, so a very common vector does not fill the windows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,23 +33,53 @@ from corpusloom.llm.common import staged
 CURVES = 12
 AXES = 12
 BITS = 5
-WINDOW_SHARE = 0.03     # length of a window, as a share of the vectors
-MIN_WINDOW = 512
+RECALL = 0.92           # share of true neighbours that the radius must reach
+MIN_RADIUS = 256
 TOP = 20
-BLOCK_ROWS = 2048       # points of a window handled by one task
-QUERY_ROWS = 4096
+SLACK = 12              # points kept beyond the top before the exact scores
+FIT_VALUES = 2_000_000  # components of the sample that axes and cells are fitted on
+VARIANCE = 0.8          # share of the variance in the leading directions
+KNOTS = 256             # quantiles an axis is scaled by
+MEASURED = 256          # queries that the radius is measured on
+RUN = 8                 # places of a run of a curve, in radii
+PART_ROWS = 65_536      # points met by one group
+PAIRS = 4_000_000       # scores held at once
 SALTS = 32
 SEED = 31
 
 
-def projections(dimension: int, curves: int, axes: int, seed: int):
-    """Orthonormal axes and shifts of every curve."""
+@dataclass(frozen=True)
+class Frame:
+    """One curve: its axes, where their quantiles lie, and its shift."""
+
+    centre: np.ndarray
+    axes: np.ndarray
+    knots: np.ndarray
+    shift: np.ndarray
+
+
+def fit_frames(
+    sample: np.ndarray, curves: int, axes: int, seed: int, variance: float = VARIANCE
+) -> list[Frame]:
+    """Curves for vectors like those of ``sample``.
+
+    Axes are a random rotation of the fewest principal directions that hold
+    ``variance``, at least ``axes`` of them; each curve has its own rotation.
+    """
+    centre = sample.mean(axis=0)
+    moved = sample - centre
+    spread, directions = np.linalg.eigh(moved.T @ moved / len(moved))
+    spread, directions = np.maximum(spread[::-1], 0), directions[:, ::-1]
+    held = np.cumsum(spread) / max(spread.sum(), np.finfo(float).tiny)
+    lead = min(max(int(np.searchsorted(held, variance)) + 1, axes), sample.shape[1])
     rng = np.random.default_rng(seed)
-    axes = min(axes, dimension)
-    return [
-        (np.linalg.qr(rng.normal(size=(dimension, dimension)))[0][:, :axes], rng.uniform(0, 0.5, axes))
-        for _ in range(curves)
-    ]
+    frames = []
+    for _ in range(curves):
+        turn = np.linalg.qr(rng.normal(size=(lead, lead)))[0][:, : min(axes, lead)]
+        chosen = directions[:, :lead] @ turn
+        knots = np.quantile(moved @ chosen, np.linspace(0, 1, KNOTS + 1), axis=0)
+        frames.append(Frame(centre, chosen, knots, rng.uniform(0, 0.5, chosen.shape[1])))
+    return frames
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -72,15 +111,27 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(vectors: np.ndarray, length: float, frames, bits: int) -> list[np.ndarray]:
-    """Hilbert key of every vector on every curve."""
-    spread = 4.0 * length / np.sqrt(vectors.shape[1])
-    keys = []
-    for axes, shift in frames:
-        unit = np.clip((vectors @ axes) / (2 * spread) + 0.5, 0, 1) / 2 + shift
-        cells = np.minimum((unit * (1 << bits)).astype(np.int64), (1 << bits) - 1)
-        keys.append(hilbert_keys(cells, bits))
-    return keys
+def curve_keys(vectors: np.ndarray, frame: Frame, bits: int) -> np.ndarray:
+    """Hilbert key of every vector on one curve."""
+    at = (vectors - frame.centre) @ frame.axes
+    steps = np.linspace(0, 1, KNOTS + 1)
+    unit = np.stack([np.interp(at[:, i], frame.knots[:, i], steps) for i in range(at.shape[1])], axis=1)
+    cells = ((unit / 2 + frame.shift) * (1 << bits)).astype(np.int64)
+    return hilbert_keys(np.clip(cells, 0, (1 << bits) - 1), bits)
+
+
+def lifted(x: np.ndarray, asks: np.ndarray, length: float) -> np.ndarray:
+    """Vectors on the sphere of the largest length; a query has a direction only."""
+    norm = np.sqrt((x * x).sum(1))
+    rise = np.sqrt(np.maximum(length**2 - norm**2, 0))
+    x = np.where(asks[:, None], x * (length / norm)[:, None], x)
+    return np.concatenate([x, np.where(asks, 0, rise)[:, None]], axis=1)
+
+
+def eight_bit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Components as integers of -127 to 127 and the step of each vector."""
+    step = np.abs(x).max(axis=1) / 127
+    return np.rint(x / step[:, None]).astype(np.int8), step
 
 
 def usable(vector: str):
@@ -100,7 +151,7 @@ def matrix(column: pa.Array, dimension: int) -> np.ndarray:
 def distinct_points(rows: DataFrame, keep: int) -> DataFrame:
     """``point_id, vector, ids``: equal vectors once, with their ``keep`` smallest ids.
 
-    No search of ``keep - 1`` neighbours can return a copy beyond those: each of
+    ``rows`` hold an id once.  No search of ``keep - 1`` neighbours can return a copy beyond those: each of
     them is as near and has a smaller id.  Copies are thinned per salt first.
     """
     hashed = rows.withColumns(
@@ -117,32 +168,120 @@ def distinct_points(rows: DataFrame, keep: int) -> DataFrame:
     kept = thinned.withColumn("r", F.row_number().over(second)).filter(F.col("r") <= keep)
     grouped = kept.groupBy("h", "g").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     points = grouped.withColumn("point_id", F.element_at("ids", 1)).select("point_id", "ids")
-    vectors = rows.dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("point_id"), "vector")
-    return points.join(vectors, "point_id")
+    return points.join(rows.withColumnRenamed("vec_id", "point_id"), "point_id")
+
+
+def best_of(scores: np.ndarray, keep: int) -> np.ndarray:
+    """Columns of the ``keep`` largest scores of every row, in no order."""
+    if scores.shape[1] <= keep:
+        return np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+    return np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
 
 
-def nearest_neighbours(
+def true_neighbours(points: DataFrame, queries: DataFrame, dimension: int, top: int, measured: int) -> DataFrame:
+    """``query_id, point_id``: the nearest points of at most ``measured`` queries, by all products.
+
+    The sample is the queries whose ids have the smallest hashes.  It is handed to
+    every task; a task returns its own best only.
+    """
+    rows = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(measured).collect()
+    asking = np.array([r["vec_id"] for r in rows], np.int64)
+    asked = np.array([r["vector"] for r in rows], np.float64).reshape(len(rows), dimension)
+
+    def score(batches):
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("point_id").to_numpy()
+            products = asked @ matrix(batch.column("vector"), dimension).T
+            alone = batch.column("copies").to_numpy() == 1
+            products[(asking[:, None] == ids[None, :]) & alone] = -np.inf
+            ids = np.broadcast_to(ids, products.shape)
+            if kept is not None:
+                products = np.concatenate([kept[0], products], axis=1)
+                ids = np.concatenate([kept[1], ids], axis=1)
+            best = best_of(products, top)
+            kept = np.take_along_axis(products, best, 1), np.take_along_axis(ids, best, 1)
+        if kept is not None:
+            there = np.isfinite(kept[0]).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(asking, kept[0].shape[1])[there]), pa.array(kept[1].ravel()[there]),
+                 pa.array(kept[0].ravel()[there])],
+                names=["query_id", "point_id", "score"],
+            )
+
+    found = points.select("point_id", "vector", F.size("ids").alias("copies")).mapInArrow(
+        score, "query_id long, point_id long, score double"
+    )
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
+    return (
+        found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top)
+        .select("query_id", "point_id")
+    )
+
+
+def measured_radius(places: DataFrame, truth: DataFrame, recall: float, least: int) -> int:
+    """Distance on the nearest curve within which ``recall`` of the pairs of ``truth`` lie.
+
+    ``truth`` is bounded (MEASURED queries, TOP points each), so it is broadcast and
+    its distances are collected.
+    """
+    truth = F.broadcast(truth)
+    asked = places.filter("asks").join(
+        F.broadcast(truth.select("query_id").distinct()), F.col("id") == F.col("query_id")
+    ).select("query_id", "curve", F.col("place").alias("q_place"))
+    held = places.filter("not asks").join(truth, F.col("id") == F.col("point_id")).select(
+        "query_id", "point_id", "curve", "place"
+    )
+    apart = held.join(asked, ["query_id", "curve"]).groupBy("query_id", "point_id").agg(
+        F.min(F.abs(F.col("place") - F.col("q_place"))).alias("apart")
+    )
+    distances = np.sort([r["apart"] for r in apart.select("apart").collect()])
+    if not len(distances):
+        return least
+    wanted = min(int(np.ceil(recall * len(distances))), len(distances))
+    return max(least, int(distances[max(wanted, 1) - 1]))
+
+
+@dataclass(frozen=True)
+class CurveIndex:
+    """Places of all points and queries on all curves, and the radius to search."""
+
+    points: DataFrame     # point_id, ids, vector
+    queries: DataFrame    # vec_id, vector
+    coded: DataFrame      # id, asks, code, step, keys
+    places: DataFrame     # id, asks, curve, place
+    total: int            # places of a curve
+    asked: int            # queries
+    curves: int
+    radius: int
+    dimension: int
+    top: int
+
+    def scored_share(self) -> float:
+        """Products within the windows, as a share of all pairs of query and place."""
+        return min(2 * self.radius + 1, self.total) * self.curves / self.total
+
+
+def build_index(
     embeddings: DataFrame,
     is_query,
     top: int = TOP,
     curves: int = CURVES,
     axes: int = AXES,
     bits: int = BITS,
-    window_share: float = WINDOW_SHARE,
+    recall: float = RECALL,
+    min_radius: int = MIN_RADIUS,
+    measured: int = MEASURED,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     seed: int = SEED,
-) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``top`` nearest vectors found.
+) -> CurveIndex | None:
+    """Orders of all vectors and queries and the measured radius; None without vectors or queries.
 
-    ``is_query`` is a condition on ``vec_id``; all rows are candidates, a query's
-    own row excepted.  ``score`` is the inner product of the original vectors in
-    double precision; ties go to the smaller id.  A window is ``window_share`` of
-    the vectors, at least MIN_WINDOW: a small table is searched whole.
-
-    Vectors that are null, zero, of another length than the longest, or hold null
-    or non-finite components take no part, neither do null ids; of equal ids the
-    index holds one.  An empty table gives no rows, other columns are not read.
+    Axes and cells are fitted on at most FIT_VALUES components, of the points whose
+    ids have the smallest hashes.  See ``nearest_neighbours`` for the rows taken.
     """
     source = (
         embeddings.select(
@@ -150,50 +289,57 @@ def nearest_neighbours(
         )
         .filter(F.col("vec_id").isNotNull() & usable("vector"))
     )
-    facts = source.agg(
-        F.max(F.size("vector")),
-        F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))),
-    ).first()
-    spark = embeddings.sparkSession
-    if facts[0] is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dimension, length = facts[0], float(np.sqrt(facts[1]))
-    rows = source.filter(F.size("vector") == dimension)
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    facts = (
+        source.groupBy(F.size("vector").alias("dimension"))
+        .agg(F.count("*").alias("n"), F.max(square).alias("square"))
+        .orderBy(F.desc("n"), F.desc("dimension")).first()
+    )
+    if facts is None:
+        return None
+    dimension, length = facts["dimension"], float(np.sqrt(facts["square"]))
+    rows = source.filter(F.size("vector") == dimension).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = staged(rows, "vectors")
     points = staged(distinct_points(rows, top + 1), "points")
-    queries = rows.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id"])
-    frames = projections(dimension + 1, curves, axes, seed)
-    kind = points.schema["vector"].dataType.simpleString()
+    queries = rows.filter(is_query(F.col("vec_id")))
+    asked = queries.count()
+    if not asked:
+        return None
+    sample = (
+        points.orderBy(F.xxhash64("point_id"), "point_id").limit(max(1, FIT_VALUES // dimension))
+        .select("vector").toArrow().column("vector").combine_chunks()
+    )
+    sample = matrix(sample, dimension)
+    frames = fit_frames(lifted(sample, np.zeros(len(sample), bool), length), curves, axes, seed)
     everyone = points.select(
         F.col("point_id").alias("id"), F.lit(False).alias("asks"), "vector"
     ).unionByName(queries.select(F.col("vec_id").alias("id"), F.lit(True).alias("asks"), "vector"))
 
-    def place(batches):
+    def encode(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = matrix(batch.column("vector"), dimension)
-            asks = batch.column("asks").to_numpy(zero_copy_only=False)
-            norm = np.sqrt((x * x).sum(1))
-            lift = np.sqrt(np.maximum(length**2 - norm**2, 0))
-            # a query has a direction only: it is put on the sphere
-            x = np.where(asks[:, None], x * (length / norm)[:, None], x)
-            lifted = np.concatenate([x, np.where(asks, 0, lift)[:, None]], axis=1)
-            for c, keys in enumerate(curve_keys(lifted, length, frames, bits)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), c, np.int32)), pa.array(keys)]
-                    + [batch.column(n) for n in ("id", "asks", "vector")],
-                    names=["curve", "key", "id", "asks", "vector"],
-                )
+            on_sphere = lifted(x, batch.column("asks").to_numpy(zero_copy_only=False), length)
+            keys = np.stack([curve_keys(on_sphere, frame, bits) for frame in frames], axis=1)
+            codes, steps = eight_bit(x)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("asks"),
+                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(steps),
+                 pa.ListArray.from_arrays(
+                     pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(frames)), pa.array(keys.ravel())
+                 )],
+                names=["id", "asks", "code", "step", "keys"],
+            )
 
-    placed = everyone.mapInArrow(
-        place, f"curve int, key long, id long, asks boolean, vector {kind}"
-    )
-    in_order = placed.repartitionByRange("curve", "key", "id", "asks").sortWithinPartitions(
-        "curve", "key", "id", "asks"
+    coded = staged(
+        everyone.mapInArrow(encode, "id long, asks boolean, code binary, step double, keys array<long>"), "codes"
     )
+    order = ["curve", "key", "id", "asks"]
+    placed = coded.select("id", "asks", F.posexplode("keys").alias("curve", "key"))
     in_order = staged(
-        in_order.select(
-            "*",
+        placed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+            "id", "asks", "curve",
             F.spark_partition_id().alias("part"),
             F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at"),
         ),
@@ -205,78 +351,130 @@ def nearest_neighbours(
     )
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = lengths.select(
-        "curve", "part", "first_at", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+        "curve", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_at")).alias("offset")
     )
-    total = in_order.filter("curve = 0").count()
-    window = max(MIN_WINDOW, int(np.ceil(window_share * total)))
-    last = (total - 1) // window
-    parts = -(-window // BLOCK_ROWS)
-    # about 3 windows of queries meet a window of points
-    shares = max(1, -(-3 * window * queries.count() // (total * QUERY_ROWS)))
-    ranked = in_order.join(F.broadcast(offsets), ["curve", "part"]).withColumn(
-        "place", F.col("offset") + F.col("at") - F.col("first_at")
-    ).withColumn("window", F.floor(F.col("place") / window))
-    inside = F.pmod(F.col("place"), F.lit(parts)).cast("int")
-    held = ranked.filter("not asks").select(
-        "curve", "window", inside.alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), "id", "vector",
+    places = in_order.join(F.broadcast(offsets), ["curve", "part"]).select(
+        "id", "asks", "curve", (F.col("offset") + F.col("at")).alias("place")
     )
-    asked = ranked.filter("asks").select(
-        "curve",
+    truth = staged(true_neighbours(points, queries, dimension, top, measured), "truth")
+    radius = measured_radius(places, truth, recall, min_radius)
+    total = in_order.filter("curve = 0").count()
+    return CurveIndex(points, queries, coded, places, total, asked, curves, radius, dimension, top)
+
+
+def window_hits(index: CurveIndex) -> DataFrame:
+    """``query_id, point_id, score``: the best of every window, by the codes.
+
+    A curve is cut into runs of RUN radii.  Points within a radius of a run belong
+    to it too, so every query is answered in its own run; the points of a run are
+    dealt into parts of at most about PART_ROWS.
+    """
+    radius, dimension, keep = index.radius, index.dimension, index.top + SLACK
+    run = RUN * radius
+    parts = -(-(run + 2 * radius) // PART_ROWS)
+    shares = max(1, -(-run * index.asked // (index.total * PART_ROWS)))
+    first = F.greatest(F.floor((F.col("place") - radius) / run), F.lit(0))
+    final = F.least(F.floor((F.col("place") + radius) / run), F.lit((index.total - 1) // run))
+    met = index.places.select(
+        "id", "asks", "curve", "place",
         F.explode(
-            F.sequence(
-                F.greatest(F.col("window") - 1, F.lit(0)), F.least(F.col("window") + 1, F.lit(last))
-            )
-        ).alias("window"),
-        F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int").alias("share"),
-        "id", "vector",
-    ).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    keys = ["curve", "window", "part", "share"]
-    # both sides stem from one table: other names tell them apart
-    asked = asked.withColumnsRenamed({c: f"q_{c}" for c in asked.columns})
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table(
-                {"query_id": pa.array([], pa.int64()), "point_id": pa.array([], pa.int64()),
-                 "score": pa.array([], pa.float64())}
-            )
-        ids = right.column("id").to_numpy()
-        by_id = np.argsort(ids, kind="stable")
-        ids, x = ids[by_id], matrix(right.column("vector").combine_chunks(), dimension)[by_id]
-        asking = left.column("q_id").to_numpy()
-        q = matrix(left.column("q_vector").combine_chunks(), dimension)
+            F.when(F.col("asks"), F.array(F.floor(F.col("place") / run))).otherwise(F.sequence(first, final))
+        ).alias("run"),
+    )
+    on = met.groupBy("id", "asks").agg(F.collect_list(F.struct("curve", "place", "run")).alias("at"))
+    carried = index.coded.select("id", "asks", "code", "step").join(on, ["id", "asks"]).select(
+        "id", "asks", "code", "step", F.inline("at")
+    )
+    by_place = F.pmod("place", F.lit(parts)).cast("int")
+    by_share = F.pmod("place", F.lit(shares)).cast("int")
+    everything = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    groups = carried.select(
+        "*", F.explode(F.when(F.col("asks"), everything(parts)).otherwise(F.array(by_place))).alias("part")
+    ).select(
+        "*", F.explode(F.when(F.col("asks"), F.array(by_share)).otherwise(everything(shares))).alias("share")
+    )
+
+    def unpacked(rows: pa.Table):
+        place = rows.column("place").to_numpy()
+        order = np.argsort(place, kind="stable")
+        flat = b"".join(rows.column("code").to_pylist())
+        codes = np.frombuffer(flat, np.int8).reshape(-1, dimension)[order].astype(np.float32)
+        return place[order], rows.column("id").to_numpy()[order], codes, rows.column("step").to_numpy()[order]
+
+    def meet(rows: pa.Table) -> pa.Table:
+        asks = rows.column("asks").to_numpy()
+        q_place, q_ids, q, q_step = unpacked(rows.filter(pa.array(asks)))
+        place, ids, x, step = unpacked(rows.filter(pa.array(~asks)))
         found = []
-        for at in range(0, len(q), 512):
-            scores = q[at : at + 512] @ x.T
-            best = np.argsort(-scores, axis=1, kind="stable")[:, : top + 1]
-            found.append(
-                (
-                    np.repeat(asking[at : at + 512], best.shape[1]),
-                    ids[best].ravel(),
-                    np.take_along_axis(scores, best, 1).ravel(),
+        at = 0
+        while at < len(q_ids) and len(ids):
+            # queries that stand close together share their window
+            low = np.searchsorted(place, q_place[at] - radius)
+            end = min(np.searchsorted(q_place, q_place[at] + radius // 4, side="right"), len(q_ids))
+            end = max(at + 1, min(end, at + PAIRS // (3 * radius)))
+            high = np.searchsorted(place, q_place[end - 1] + radius, side="right")
+            if high > low:
+                scores = (q[at:end] @ x[low:high].T) * step[None, low:high] * q_step[at:end, None]
+                best = best_of(scores, keep)
+                found.append(
+                    (np.repeat(q_ids[at:end], best.shape[1]), ids[low:high][best].ravel(),
+                     np.take_along_axis(scores, best, 1).ravel())
                 )
-            )
+            at = end
+        types = {"query_id": np.int64, "point_id": np.int64, "score": np.float64}
         return pa.table(
-            {n: np.concatenate([f[i] for f in found]) for i, n in enumerate(("query_id", "point_id", "score"))}
+            {n: np.concatenate([np.empty(0, t)] + [f[i] for f in found]) for i, (n, t) in enumerate(types.items())}
         )
 
-    met = (
-        asked.groupBy(*[f"q_{k}" for k in keys])
-        .cogroup(held.groupBy(*keys))
-        .applyInArrow(meet, "query_id long, point_id long, score double")
+    return groups.groupBy("curve", "run", "part", "share").applyInArrow(
+        meet, "query_id long, point_id long, score double"
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+
+def search_index(index: CurveIndex) -> DataFrame:
+    """``query_id, rank, vec_id, score``: windows merged, best points reranked exactly."""
     # the same point from several windows has the same score
-    merged = met.groupBy("query_id", "point_id").agg(F.max("score").alias("score"))
+    merged = window_hits(index).groupBy("query_id", "point_id").agg(F.max("score").alias("score"))
     best_points = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
-    few = merged.withColumn("r", F.row_number().over(best_points)).filter(F.col("r") <= top + 1)
-    listed = few.join(points.select("point_id", "ids"), "point_id").select(
-        "query_id", F.explode("ids").alias("vec_id"), "score"
+    few = (
+        merged.withColumn("r", F.row_number().over(best_points))
+        .filter(F.col("r") <= index.top + SLACK).select("query_id", "point_id")
+    )
+    double = "array<double>"
+    products = F.zip_with(
+        F.col("q_vector").cast(double), F.col("vector").cast(double), lambda a, b: a * b
     )
+    asked = index.queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("q_vector"))
+    listed = few.join(asked, "query_id").join(index.points, "point_id").select(
+        "query_id", F.explode("ids").alias("vec_id"),
+        F.aggregate(products, F.lit(0.0), lambda total, x: total + x).alias("score"),
+    )
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         listed.filter(F.col("vec_id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= top)
+        .filter(F.col("rank") <= index.top)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def nearest_neighbours(embeddings: DataFrame, is_query, **options) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``top`` nearest vectors found.
+
+    ``is_query`` is a condition on ``vec_id``; all rows are candidates, a query's
+    own row excepted.  ``score`` is the inner product of the original vectors in
+    double precision, summed from the first component to the last; ties go to the
+    smaller id.  ``options`` are those of ``build_index``.
+
+    Vectors that are null, zero or hold null or non-finite components take no part,
+    nor do null ids, nor vectors of another length than the most frequent one (of
+    equally frequent lengths, the largest).  Of rows with one id and several
+    vectors the smallest vector counts.  An empty table gives no rows, other
+    columns are not read.
+    """
+    index = build_index(embeddings, is_query, **options)
+    if index is None:
+        return embeddings.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score double"
+        )
+    return search_index(index)

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from corpusloom.llm import curves, warc
@@ -91,3 +93,35 @@ def test_recall(spark):
     np.fill_diagonal(scores, -np.inf)
     recall = np.mean([len(got[q] & set(np.argsort(-scores[q])[:20].tolist())) / 20 for q in got])
     assert recall >= 0.9
+
+
+def measured_recall(got, x, queries, top):
+    scores = x[queries].astype(float) @ x.astype(float).T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :top]
+    return np.mean([len(got[q] & set(b.tolist())) / top for q, b in zip(queries, best, strict=True)])
+
+
+def test_recall_where_the_index_prunes(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(10, 64))[rng.integers(0, 10, 50_000)] + 0.5 * rng.normal(size=(50_000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float32()))
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": flat}), tmp_path / "x.parquet")
+    index = curves.build_index(spark.read.parquet(f"{tmp_path}/x.parquet"), lambda v: v % 100 == 0)
+    assert index.scored_share() <= 0.25
+    got = {}
+    for r in curves.search_index(index).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert measured_recall(got, x, np.arange(0, 50_000, 100), 20) >= 0.9
+
+
+def test_repeated_ids_and_odd_lengths(spark):
+    rows = [(20, [0.0, 1.0]), (20, [1.0, 0.0]), (40, [0.0, 1.0]), (41, [1.0, 0.0]), (42, [1.0, 0.0]), (42, [1.0, 0.0]),
+            (7, [5.0, 5.0, 5.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = curves.nearest_neighbours(frame, lambda v: v % 20 == 0, top=3).collect()
+    by_query = {q: [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+                for q in (20, 40)}
+    assert by_query == {20: [(40, 1.0), (41, 0.0), (42, 0.0)], 40: [(20, 1.0), (41, 0.0), (42, 0.0)]}
+    assert curves.nearest_neighbours(frame, lambda v: v < 0).count() == 0
