@@ -339,12 +339,16 @@ numbered as materialized (
 
 SENTENCES = f"""
 marked as materialized (
-  select doc_id, string_split(regexp_replace(text, '([.!?])[ \\t\\r\\n\\f]+', '\\1' || chr(30), 'g'), chr(30)) as parts
-  from documents),
+  select doc_id, string_split(regexp_replace(text, '([.!?][ \\t\\r\\n\\f]+)', '\\1' || chr(30), 'g'), chr(30)) as parts
+  from documents where {not_blank('text')}),
+pieces as materialized (
+  select * from (select doc_id, unnest(parts) as sentence, generate_subscripts(parts, 1) as pos from marked)
+  where sentence <> ''),
+near as materialized (
+  select *, string_agg(sentence, '') over (
+    partition by doc_id order by pos rows between 1 preceding and 1 following) as seen from pieces),
 sent as materialized (
-  select doc_id, pos, sentence, doc_id::varchar || '-' || pos as sid, {tokens('sentence')} as tokens
-  from (select doc_id, unnest(parts) as sentence, generate_subscripts(parts, 1) as pos from marked)
-  where {not_blank('sentence')})
+  select doc_id, pos, sentence, doc_id::varchar || '-' || pos as sid, {tokens('seen')} as tokens from near)
 """
 
 SEMANTIC = SENTENCES + "," + hashed("svec", "sent", "sid") + f""",
@@ -469,7 +473,7 @@ texts as materialized (
     ),
     "semantic_chunks": build(
         [SEMANTIC],
-        "select doc_id, block_no, string_agg(sentence, ' ' order by pos) as text from placed group by all",
+        "select doc_id, block_no, string_agg(sentence, '' order by pos) as text from placed group by all",
     ),
     "process_markup": build(
         [leaf("nfc_normalize(html)")],
