@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,42 @@ def discard(*frames: DataFrame) -> None:
         drop_folder(frame.sparkSession, frame.staged_at)
 
 
+def give_back() -> None:
+    """Return the memory that this process has freed to the system.
+
+    Spark keeps Python workers between tasks; what numpy and Arrow have freed
+    would stay theirs while the JVM of the executor needs it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(step):
+    """``step`` of a mapInArrow; its worker gives memory back at the end of a task."""
+
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def group_giving_back(step):
+    """``step`` of an applyInArrow with large groups; memory goes back after each."""
+
+    def run(table):
+        try:
+            return step(table)
+        finally:
+            give_back()
+
+    return run
+
+
 LOOKUP_ROWS = 200_000
 LOOKUP_SALTS = 32
 

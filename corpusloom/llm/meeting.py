@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import discard, left_lookup, share_join, staged
+from corpusloom.llm.common import discard, giving_back, group_giving_back, left_lookup, share_join, staged
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.packing import LAST, groups_of, mixed
 
@@ -223,7 +223,7 @@ def scan_sets(docs: DataFrame, words: int, make_keys: Callable, buckets: int) ->
         if total:
             yield from packed(held)
 
-    return docs.select("doc_id", "text").mapInArrow(scan, SCANNED)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(scan), SCANNED)
 
 
 def unpacked(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -272,7 +272,7 @@ def key_lists(scanned: DataFrame, bucket_bytes: int) -> DataFrame:
                 )
 
     lists = packed.filter(~is_heavy).groupBy("bucket").applyInArrow(
-        meet, "key long, node binary, df long"
+        group_giving_back(meet), "key long, node binary, df long"
     )
     if heavy:
         # buckets swollen by a very frequent key: row by row, that key spread over tasks
@@ -347,7 +347,7 @@ def wanted_sets(
 
     made = staged(
         texts.select("text", "many")
-        .mapInArrow(make, "node binary, n long, tokens binary, many boolean").filter("n > 0"),
+        .mapInArrow(giving_back(make), "node binary, n long, tokens binary, many boolean").filter("n > 0"),
         "sets",
     )
     again = made.filter("many").drop("many").dropDuplicates(["node"])
@@ -370,7 +370,7 @@ def likely(pairs: DataFrame, drawn: DataFrame, may: Callable) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return staged(both.select("a", "b", "x", "y").mapInArrow(keep, "a binary, b binary"), "likely")
+    return staged(both.select("a", "b", "x", "y").mapInArrow(giving_back(keep), "a binary, b binary"), "likely")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:

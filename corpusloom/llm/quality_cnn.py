@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import giving_back
+
 CHUNK = 256
 STEP = 192              # chunks overlap by 64 bytes
 STRIDE = 4
@@ -227,7 +229,7 @@ def keep_quality(
             scores = piecewise(weights, batch.column(text_col).to_pylist())
             yield batch.filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)
 
 
 def score_quality(
