@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from corpusloom.functions.memory import memory_returner
 
 # Suffixes and languages.
 CODE_LANGUAGES = {
@@ -21,6 +21,7 @@ CODE_LANGUAGES = {
 MARKUP_SUFFIXES = [".html", ".htm", ".xhtml", ".xml", ".svg"]
 TOKEN_MIN = 2               # bounds of the text index, that is of match_text only
 TOKEN_MAX = 20
+NFC_BYTES = 4_000_000       # of text that is composed at once
 
 # White space as str.strip and str.split see it: the Unicode White_Space
 # property plus the four ASCII separators.
@@ -40,27 +41,49 @@ def decode_text(content: Column) -> Column:
     return F.regexp_replace(restored, "\r\n?", "\n")
 
 
-def compose_nfc(text: Column) -> Column:
-    """Unicode NFC of a text column, batch by batch."""
+def compose_nfc(df: DataFrame, text_col: str) -> DataFrame:
+    """Unicode NFC of a text column, a few megabytes of text at a time."""
+    give_back, most = memory_returner(), NFC_BYTES
+
+    def composed(batches):
+        import unicodedata
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    @F.pandas_udf(T.StringType())
-    def nfc(batch: pd.Series) -> pd.Series:
-        return batch.str.normalize("NFC")
+        for batch in batches:
+            place = batch.schema.get_field_index(text_col)
+            sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
+            start, held = 0, 0
+            for end, size in enumerate(sizes, 1):
+                held += size
+                if held < most and end < len(sizes):
+                    continue
+                part = batch.slice(start, end - start)
+                texts = [
+                    None if t is None else unicodedata.normalize("NFC", t)
+                    for t in part.column(place).to_pylist()
+                ]
+                columns = list(part.columns)
+                columns[place] = pa.array(texts, batch.schema.field(place).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                start, held = end, 0
+            give_back()
 
-    return nfc(text)
+    return df.mapInArrow(composed, df.schema)
 
 
 def normalize_nfc(df: DataFrame, text_col: str = "text") -> DataFrame:
     """NFC form of ``text_col``.
 
-    ASCII text is already composed; it is kept out of Python by splitting the
-    rows into two branches, because a Python function inside ``when`` would be
-    evaluated for every row.
+    Text of characters below U+0300 is already composed: none of them combines
+    or decomposes to anything else in NFC.  It is kept out of Python by splitting
+    the rows into two branches, because a Python function inside ``when`` would
+    be evaluated for every row.
     """
-    ascii_only = F.col(text_col).rlike(r"^[\x00-\x7F]*$")
-    plain = df.filter(F.col(text_col).isNull() | ascii_only)
-    other = df.filter(~ascii_only).withColumn(text_col, compose_nfc(F.col(text_col)))
-    return plain.unionByName(other)
+    composed = F.col(text_col).rlike(r"^[\x00-\x{2FF}]*\z")
+    plain = df.filter(F.col(text_col).isNull() | composed)
+    return plain.unionByName(compose_nfc(df.filter(~composed), text_col))
 
 
 def strip(text: Column) -> Column:
