@@ -7,6 +7,7 @@ import ctypes
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,22 @@ def discard(*frames: DataFrame) -> None:
         drop_folder(frame.sparkSession, frame.staged_at)
 
 
+def text_slices(texts: pa.Array, most: int):
+    """Slices of neighbouring texts of about ``most`` bytes, at least one text each.
+
+    A batch is turned into Python strings a slice at a time; all of them at once
+    would take its size again, several times that of texts beyond Latin-1.
+    """
+    begin, held = 0, 0
+    for stop, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1):
+        held += size
+        if held >= most:
+            yield slice(begin, stop)
+            begin, held = stop, 0
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def give_back() -> None:
     """Return the memory that this process has freed to the system.
 

@@ -5,7 +5,9 @@ and how a list of sketches is searched; this module does the rest:
 
 1. One pass over the texts sends the keys, packed in buckets; a key that only one
    set has goes no further.  Sets are told apart by 128-bit digests, and equal
-   sets are one set throughout.
+   sets are one set throughout.  As most keys go no further, they travel short: 40
+   bits of a key, beside its bucket (keys taken for one only make a list longer),
+   and half of the digest, which a join completes for the keys that sets share.
 2. A list holds the sets of one key.  Each set is compared with the first set of
    those lists in which it meets that set most often: by sketches, and if these do
    not rule a link out, token by token.  This unites most groups of near copies for
@@ -32,11 +34,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import discard, giving_back, group_giving_back, left_lookup, share_join, staged
+from corpusloom.llm.common import (
+    discard,
+    giving_back,
+    group_giving_back,
+    left_lookup,
+    share_join,
+    staged,
+    text_slices,
+)
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.packing import LAST, groups_of, mixed
 
-SEGMENT = 1_500_000             # bytes of text whose sets are made together
+SEGMENT = 500_000               # bytes of text whose sets are made together
 BUCKET_KEYS = 400_000
 BUCKET_BYTES = 128_000_000      # of keys in a bucket; more only if one key is very frequent
 FLUSH_KEYS = 1_000_000
@@ -84,18 +94,6 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mixed(raw + mixed((ends - begins).astype(np.uint64))), begins
 
 
-def segments(texts: list[str | None]):
-    """Slices of neighbouring texts of bounded total size."""
-    begin = 0
-    while begin < len(texts):
-        stop, size = begin, 0
-        while stop < len(texts) and (size < SEGMENT or stop == begin):
-            size += len(texts[stop] or "")
-            stop += 1
-        yield slice(begin, stop)
-        begin = stop
-
-
 def token_sets(texts: list[str | None], words: int):
     """``tokens, counts``: the sorted distinct shingle hashes of each text in a row."""
     raws = [(t or "").encode("utf-8").lower() for t in texts]
@@ -157,8 +155,36 @@ def id_column(ids: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
     return pc.if_else(pa.array(null), pa.scalar(None, pa.binary()), column)
 
 
-def ids_of(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
+KEY_BYTES = 5
+
+
+def short_keys(keys: np.ndarray) -> bytes:
+    """The lowest bytes of keys; the bucket stands for the others."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def long_keys(data: bytes, bucket: int) -> np.ndarray:
+    """Numbers that are equal for equal keys, and different in different buckets."""
+    raw = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    keys = np.zeros((len(raw), 8), np.uint8)
+    keys[:, :KEY_BYTES] = raw
+    return keys.view(np.uint64)[:, 0] | np.uint64(bucket << 8 * KEY_BYTES)
+
+
+def short_counts(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def long_counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64)
+
+
+def half_column(halves: np.ndarray) -> pa.Array:
+    """A binary column of the first 8 bytes of ids."""
+    offsets = pa.array(np.arange(len(halves) + 1, dtype=np.int32) * 8).buffers()[1]
+    data = pa.py_buffer(np.ascontiguousarray(halves).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(halves), [None, offsets, data])
 
 
 SCANNED = "doc_id long, n long, node binary, bucket int, keys binary, counts binary, nodes binary"
@@ -189,8 +215,8 @@ def scan_sets(docs: DataFrame, words: int, make_keys: Callable, buckets: int) ->
             here = slice(begin, begin + size)
             firsts, counts = groups_of(whose[here])
             rows.append((
-                None, None, None, int(bucket[begin]), keys[here].tobytes(),
-                counts.astype(np.uint32).tobytes(), ids[whose[here][firsts]].tobytes(),
+                None, None, None, int(bucket[begin]), short_keys(keys[here]),
+                short_counts(counts), ids[whose[here][firsts], 0].tobytes(),
             ))
         return pa.Table.from_arrays(
             [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SCAN_SCHEMA)],
@@ -201,9 +227,8 @@ def scan_sets(docs: DataFrame, words: int, make_keys: Callable, buckets: int) ->
         seen, held, total = set(), [], 0
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            texts = batch.column("text").to_pylist()
-            for here in segments(texts):
-                tokens, counts = token_sets(texts[here], words)
+            for here in text_slices(batch.column("text"), SEGMENT):
+                tokens, counts = token_sets(batch.column("text")[here].to_pylist(), words)
                 ids = set_ids(tokens, counts)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(here.start, len(counts)), pa.array(counts), id_column(ids, counts == 0)]
@@ -227,30 +252,32 @@ def scan_sets(docs: DataFrame, words: int, make_keys: Callable, buckets: int) ->
 
 
 def unpacked(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, the number of the set of each, and the ids of the sets."""
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
-    return keys, np.repeat(np.arange(len(counts)), counts), ids_of(table.column("nodes"))
+    """Keys, the number of the set of each, and the halves of the ids of the sets."""
+    keys, whose, halves, base = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [], 0
+    columns = [table.column(name).to_pylist() for name in ("bucket", "keys", "counts", "nodes")]
+    for bucket, packed, counts, nodes in zip(*columns, strict=True):
+        here = np.frombuffer(nodes, np.uint64)
+        keys.append(long_keys(packed, bucket))
+        whose.append(np.repeat(np.arange(base, base + len(here)), long_counts(counts, len(here))))
+        halves.append(here)
+        base += len(here)
+    return np.concatenate(keys), np.concatenate(whose), np.concatenate([np.empty(0, np.uint64), *halves])
 
 
 def key_lists(scanned: DataFrame, bucket_bytes: int) -> DataFrame:
     """``key, node, df``: the sets of every key that at least two have."""
     packed = scanned.filter("bucket is not null").select("bucket", "keys", "counts", "nodes")
+    held = F.octet_length("keys") * F.lit(8 / KEY_BYTES) + F.octet_length("nodes")
     heavy = [
-        r[0] for r in packed.groupBy("bucket")
-        .agg(F.sum(F.octet_length("keys") + F.octet_length("nodes")).alias("size"))
+        r[0] for r in packed.groupBy("bucket").agg(F.sum(held).alias("size"))
         .filter(F.col("size") > bucket_bytes).collect()     # at most one for that many bytes
     ]
     is_heavy = F.col("bucket").isin(heavy)
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, whose, ids = unpacked(table)
-        order = np.lexsort((ids[:, 0], ids[:, 1]))
-        new = np.ones(len(ids), bool)
-        new[1:] = (ids[order][1:] != ids[order][:-1]).any(axis=1)
-        number = np.empty(len(ids), np.int64)
-        number[order] = np.cumsum(new) - 1
-        ids, whose = ids[order][new], number[whose]
+        keys, whose, halves = unpacked(table)
+        halves, number = np.unique(halves, return_inverse=True)
+        whose = number[whose]
         order = np.lexsort((whose, keys))
         keys, whose = keys[order], whose[order]
         once = np.ones(len(keys), bool)
@@ -260,32 +287,33 @@ def key_lists(scanned: DataFrame, bucket_bytes: int) -> DataFrame:
         sizes = np.repeat(run, run)
         many = sizes > 1
         return pa.table({
-            "key": keys[many].view(np.int64), "node": id_column(ids[whose[many]]), "df": sizes[many],
+            "key": keys[many].view(np.int64), "half": half_column(halves[whose[many]]), "df": sizes[many],
         })
 
     def unpack(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                keys, whose, ids = unpacked(batch.slice(row, 1))
+                keys, whose, halves = unpacked(batch.slice(row, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), id_column(ids[whose])], names=["key", "node"]
+                    [pa.array(keys.view(np.int64)), half_column(halves[whose])], names=["key", "half"]
                 )
 
     lists = packed.filter(~is_heavy).groupBy("bucket").applyInArrow(
-        group_giving_back(meet), "key long, node binary, df long"
+        group_giving_back(meet), "key long, half binary, df long"
     )
     if heavy:
         # buckets swollen by a very frequent key: row by row, that key spread over tasks
         rows = staged(
-            packed.filter(is_heavy).select("keys", "counts", "nodes")
-            .mapInArrow(unpack, "key long, node binary").distinct(),
+            packed.filter(is_heavy).mapInArrow(unpack, "key long, half binary").distinct(),
             "frequent",
         )
         sizes = rows.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("df")).filter("df > 1")
         lists = lists.unionByName(
-            share_join(rows, staged(sizes, "sizes"), "key", "of", "df").select("key", "node", "df")
+            share_join(rows, staged(sizes, "sizes"), "key", "of", "df").select("key", "half", "df")
         )
-    return lists
+    # halves of two sets that are equal would give both, which makes lists longer
+    names = scanned.filter("n > 0").select(F.substring("node", 1, 8).alias("its_half"), "node").distinct()
+    return lists.join(names, F.col("half") == F.col("its_half")).select("key", "node", "df")
 
 
 def common_tokens(a: np.ndarray, b: np.ndarray) -> int:
@@ -333,9 +361,9 @@ def wanted_sets(
 
     def make(batches):
         for batch in batches:
-            texts, many = batch.column("text").to_pylist(), batch.column("many")
-            for here in segments(texts):
-                tokens, counts = token_sets(texts[here], words)
+            many = batch.column("many")
+            for here in text_slices(batch.column("text"), SEGMENT):
+                tokens, counts = token_sets(batch.column("text")[here].to_pylist(), words)
                 ends = np.cumsum(counts)
                 sets = [tokens[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
                 contents = [sketch(t) if sketch and len(t) else t.tobytes() for t in sets]

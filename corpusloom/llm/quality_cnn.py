@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import giving_back
+from corpusloom.llm.common import giving_back, text_slices
 
 CHUNK = 256
 STEP = 192              # chunks overlap by 64 bytes
@@ -34,6 +34,7 @@ RATE = 0.01
 SEED = 5
 THRESHOLD = 0.3
 BLOCK = 1024            # chunks convolved at once
+PIECE = 1_000_000       # bytes of text cut into chunks at once
 
 
 def cut_chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,24 +195,18 @@ def fit_quality_model(
         weights = train(texts, np.array([r[2] for r in rows], np.float64), seed)
         yield pa.RecordBatch.from_pydict({"weights": [pickle.dumps(weights)]})
 
-    found = sample.repartition(1).mapInArrow(learn, "weights binary").collect()
+    found = sample.repartition(1).mapInArrow(giving_back(learn), "weights binary").collect()
     if not found:
         neutral = new_weights(np.random.default_rng(seed))
         return neutral | {"out": np.zeros_like(neutral["out"]), "offset": np.zeros_like(neutral["offset"])}
     return pickle.loads(found[0][0])
 
 
-def piecewise(weights, texts: list[str | None]) -> np.ndarray:
-    """Probabilities of the texts of a batch, some megabytes at a time."""
-    found, piece, size = [np.empty(0)], [], 0
-    for text in texts:
-        piece.append((text or "").encode("utf-8"))
-        size += len(piece[-1]) + CHUNK
-        if size > 2_000_000:
-            found.append(probability(weights, piece))
-            piece, size = [], 0
-    if piece:
-        found.append(probability(weights, piece))
+def piecewise(weights, texts: pa.Array) -> np.ndarray:
+    """Probabilities of the texts of a batch, about a megabyte at a time."""
+    found = [np.empty(0)]
+    for here in text_slices(texts, PIECE):
+        found.append(probability(weights, [(t or "").encode("utf-8") for t in texts[here].to_pylist()]))
     return np.concatenate(found)
 
 
@@ -226,7 +221,7 @@ def keep_quality(
 
     def keep(batches):
         for batch in batches:
-            scores = piecewise(weights, batch.column(text_col).to_pylist())
+            scores = piecewise(weights, batch.column(text_col))
             yield batch.filter(pa.array(scores >= threshold))
 
     return docs.mapInArrow(giving_back(keep), docs.schema)
@@ -243,7 +238,7 @@ def score_quality(
 
     def score(batches):
         for batch in batches:
-            scores = piecewise(weights, batch.column("text").to_pylist())
+            scores = piecewise(weights, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64())],
                 names=["doc_id", "score"],
@@ -251,4 +246,4 @@ def score_quality(
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(score, f"doc_id {kind}, score double")
+    return source.mapInArrow(giving_back(score), f"doc_id {kind}, score double")

@@ -2,11 +2,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import meeting
+from corpusloom.llm import jaccard, meeting
 from corpusloom.llm.collisions import collision_search, near_duplicates, occurring, signature_sketch
+from corpusloom.llm.common import text_slices
 from corpusloom.llm.jaccard import bitmap_sketch, keep_one, link_components, tree_search
 
 
@@ -215,3 +217,50 @@ def test_no_rows_and_no_links(spark, how):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert JOINS[how](empty).count() == 0
     check(spark, [(1, "a b c d"), (2, "e f g h")], how=how)
+
+
+def test_keys_travel_short_however_many_buckets(spark):
+    rows = corpus(3, 60, 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keys_of = lambda tokens, counts: jaccard.route_keys(tokens, counts, (90, 100))
+    scanned = meeting.scan_sets(docs, 3, keys_of, 100_000).filter("bucket is not null").collect()
+    keys = sum(len(meeting.unpacked(as_table([r]))[0]) for r in scanned)
+    tokens, counts = meeting.token_sets([t for _, t in rows], 3)
+    assert keys == len(keys_of(tokens, counts)[0]) > 500
+    assert sum(len(r["keys"]) + len(r["counts"]) + len(r["nodes"]) for r in scanned) <= 14 * keys
+
+
+def as_table(rows):
+    names = ["bucket", "keys", "counts", "nodes"]
+    return pa.table({n: [r[n] if n == "bucket" else bytes(r[n]) for r in rows] for n in names})
+
+
+def test_short_keys_differ_between_buckets():
+    keys = np.array([1, 1 << 39, (1 << 40) - 1, 0, 2**63 + 5], np.uint64)
+    here, there = (meeting.long_keys(meeting.short_keys(keys), b) for b in (0, 70_000))
+    assert len(set(here.tolist()) | set(there.tolist())) == 10
+    assert (here == keys % np.uint64(1 << 40)).all()
+    for counts in ([1, 255], [256, 3], [70_000, 1]):
+        assert meeting.long_counts(meeting.short_counts(np.array(counts)), 2).tolist() == counts
+
+
+def test_halves_that_are_equal_lose_no_list(spark):
+    """Two sets whose ids begin alike, in a list with a third one."""
+    ids = np.array([[5, 1], [5, 2], [9, 3]], np.uint64)
+    keys = np.array([77], np.uint64)
+    rows = [(n, 4, bytes(i), None, None, None, None) for n, i in enumerate(ids)] + [
+        (None, None, None, 0, meeting.short_keys(keys), meeting.short_counts(np.array([1])), i[0].tobytes())
+        for i in ids
+    ]
+    scanned = spark.createDataFrame(rows, meeting.SCANNED)
+    for most in (1 << 20, 1):
+        got = meeting.key_lists(scanned, most).collect()
+        assert {bytes(r["node"]) for r in got} == {bytes(i) for i in ids}
+
+
+def test_texts_become_strings_a_slice_at_a_time():
+    texts = pa.array(["é" * 40, None, "", "x" * 500, "y", "z" * 30])
+    found = list(text_slices(texts, 100))
+    assert [i for s in found for i in range(len(texts))[s]] == list(range(6))
+    assert all(sum(len((t or "").encode()) for t in texts[s].to_pylist()[:-1]) < 100 for s in found)
+    assert list(text_slices(texts[:0], 100)) == []
