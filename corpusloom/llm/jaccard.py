@@ -20,6 +20,8 @@ Equal sets are one set throughout, so copies cost one row per task.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ THRESHOLD = (90, 100)
 LEVEL_RATIO = 1.4
 LEAF = 8
 FANOUT = 8
+PROPOSED = np.dtype([("overlap", float), ("x", np.int32), ("y", np.int32)])
 
 
 def size_levels(limit: int) -> np.ndarray:
@@ -201,11 +204,12 @@ def tree_search(threshold: tuple[int, int]):
         if left:
             tree = work.tree(left)
             if sides is None:
-                found += work.traverse(tree, tree)
+                found.append(work.traverse(tree, tree))
             if right:
-                found += work.traverse(tree, work.tree(right))
-        overlap, x, y = zip(*found, strict=True) if found else ((), (), ())
-        return np.array(overlap, float), np.array(x, np.int64), np.array(y, np.int64)
+                found.append(work.traverse(tree, work.tree(right)))
+        # straight into an array: a list of near copies may propose millions of pairs
+        pairs = np.fromiter(chain.from_iterable(found), PROPOSED)
+        return pairs["overlap"], pairs["x"], pairs["y"]
 
     return search
 

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -265,3 +266,19 @@ def test_texts_become_strings_a_slice_at_a_time():
     assert [i for s in found for i in range(len(texts))[s]] == list(range(6))
     assert all(sum(len((t or "").encode()) for t in texts[s].to_pylist()[:-1]) < 100 for s in found)
     assert list(text_slices(texts[:0], 100)) == []
+
+
+def test_pairs_of_many_near_copies_stay_small():
+    """A list of near copies proposes all of its pairs; they must not become Python objects."""
+    rng = np.random.default_rng(1)
+    base, own = rng.integers(0, 2**63, 200), rng.integers(0, 2**63, (500, 20))
+    sketches = [bitmap_sketch(np.unique(np.append(base, o)).astype(np.uint64)) for o in own]
+    search = tree_search((80, 100))
+    tracemalloc.start()
+    try:
+        overlap, x, y = search(sketches, list(range(500)), None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(set(zip(x.tolist(), y.tolist(), strict=True))) == len(overlap) == 500 * 499 // 2
+    assert peak < 50 * len(overlap)
