@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import uuid
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,30 +138,81 @@ def group_giving_back(step):
 
 LOOKUP_ROWS = 200_000
 LOOKUP_SALTS = 32
+SALTED_ROWS = 20_000        # of a key that is spread
+SALTED_KEYS = 10_000        # most keys that are
 
 
 def left_lookup(
     big: DataFrame, small: DataFrame, big_key: str, small_key: str, salt_col: str,
-    max_rows: int = LOOKUP_ROWS,
+    max_rows: int = LOOKUP_ROWS, salted_rows: int = SALTED_ROWS,
 ) -> DataFrame:
     """Left join with a staged table of narrow rows and unique keys.
 
     Broadcast while it has at most ``max_rows`` rows.  Beyond that both sides are
-    shuffled on key and salt, so that a key with many rows is spread.
+    shuffled, each row once; a key with ``salted_rows`` rows or more is spread by a
+    salt, with a copy of its row of ``small`` for each.  Rows with a null key, which
+    meet nothing, are spread as well.  The merge is asked for: Spark knows of the
+    bytes of a file only, which are few where columns are alike, and would broadcast
+    a table of millions of rows.
     """
     if small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), F.col(big_key) == F.col(small_key), "left")
-    spread = small.withColumn(
-        "_salt_s", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1)))
+    often = staged(
+        big.filter(F.col(big_key).isNotNull()).groupBy(F.col(big_key).alias("_often"))
+        .agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= salted_rows)
+        .orderBy(F.desc("_rows"), "_often").limit(SALTED_KEYS).select("_often"),
+        "often",
     )
-    salted = big.withColumn("_salt_b", F.pmod(F.xxhash64(salt_col), F.lit(LOOKUP_SALTS)).cast("int"))
+    salt = F.pmod(F.xxhash64(salt_col), F.lit(LOOKUP_SALTS)).cast("int")
+    dealt, spread, last = big.withColumn("_often", F.lit(None)), small, F.lit(0)
+    if not often.isEmpty():
+        dealt = big.join(F.broadcast(often), F.col(big_key) == F.col("_often"), "left")
+        spread = small.join(F.broadcast(often), F.col(small_key) == F.col("_often"), "left")
+        last = F.when(F.col("_often").isNotNull(), LOOKUP_SALTS - 1).otherwise(0)
+    salted = dealt.withColumn(
+        "_salt_b",
+        F.when(F.col(big_key).isNull() | F.col("_often").isNotNull(), salt).otherwise(0),
+    ).drop("_often")
+    spread = spread.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), last))).drop("_often")
     return salted.join(
-        spread,
+        spread.hint("merge"),
         (F.col(big_key) == F.col(small_key)) & (F.col("_salt_b") == F.col("_salt_s")),
         "left",
     ).drop("_salt_b", "_salt_s")
 
 
+PACKED_ROWS = 8_000_000     # ids that a task holds as plain numbers: 72 MB
+
+
+def flagged(
+    big: DataFrame, small: DataFrame, big_key: str, small_key: str, flag: str, salt_col: str,
+    max_rows: int = LOOKUP_ROWS, packed_rows: int = PACKED_ROWS,
+) -> DataFrame:
+    """The rows of ``big`` whose key is in a staged table of unique whole numbers, and its flag.
+
+    Rows of ``big`` may be long texts, and stay where they are: up to ``packed_rows``
+    numbers travel to the tasks in 9 bytes each.  Beyond that both tables are shuffled.
+    """
+    count = small.limit(packed_rows + 1).count()
+    if not max_rows < count <= packed_rows:
+        found = left_lookup(big, small.select(small_key, flag), big_key, small_key, salt_col, max_rows)
+        return found.filter(F.col(small_key).isNotNull()).drop(small_key)
+    rows = small.select(small_key, flag).toArrow()
+    keys = rows.column(0).to_numpy()
+    order = np.argsort(keys)
+    shared = small.sparkSession.sparkContext.broadcast((keys[order], rows.column(1).to_numpy()[order]))
+
+    def look(wanted: pa.Array) -> pa.Array:
+        names, flags = shared.value
+        wanted = wanted.to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+        return pa.array(flags[at], pa.bool_(), mask=names[at] != wanted)
+
+    # not deterministic: else the filter would call it once more
+    look = F.arrow_udf(look, "boolean").asNondeterministic()
+    return big.withColumn(flag, look(big_key)).filter(F.col(flag).isNotNull())
+
+
 HOT_KEYS = 10_000
 
 

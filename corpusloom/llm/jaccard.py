@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import left_lookup, staged
+from corpusloom.llm.common import flagged, staged
 from corpusloom.llm.meeting import BLOCK, BUCKET_BYTES, bitmap_of, folded, shingle_components
 from corpusloom.llm.packing import LAST, mixed, ranges
 
@@ -254,14 +254,14 @@ def keep_one(docs: DataFrame, words: int, threshold: tuple[int, int]) -> DataFra
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     kept = staged(
         linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
-        .groupBy(ident.alias("kept_id")).agg(F.count("*").alias("copies")),
+        .groupBy(ident.alias("kept_id")).agg((F.count("*") > 1).alias("repeated")),
         "kept",
     )
     rows = docs.select(
         ident.alias("id"), F.xxhash64("text").alias("content"), F.struct("*").alias("document")
     )
-    chosen = left_lookup(rows, kept, "id", "kept_id", "id").filter("kept_id is not null")
+    chosen = flagged(rows, kept, "id", "kept_id", "repeated", "id")
     # only rows with a repeated id need to meet
-    once = chosen.filter("copies = 1").select("document")
-    repeated = chosen.filter("copies > 1").dropDuplicates(["id", "content"]).select("document")
+    once = chosen.filter("not repeated").select("document")
+    repeated = chosen.filter("repeated").dropDuplicates(["id", "content"]).select("document")
     return once.unionByName(repeated).select("document.*")

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import (
     discard,
+    flagged,
     giving_back,
     group_giving_back,
     left_lookup,
@@ -353,11 +354,11 @@ def wanted_sets(
     ids of several rows, whose texts may be of other nodes or repeated.
     """
     ids = staged(
-        firsts.join(wanted.distinct(), F.col("its") == F.col("node"), "left_semi")
+        firsts.join(wanted.distinct().hint("merge"), F.col("its") == F.col("node"), "left_semi")
         .groupBy("first_id").agg(F.max("many").alias("many")),
         "wanted",
     )
-    texts = left_lookup(docs, ids, "doc_id", "first_id", "doc_id").filter("first_id is not null")
+    texts = flagged(docs, ids, "doc_id", "first_id", "many", "doc_id")
 
     def make(batches):
         for batch in batches:
@@ -744,7 +745,8 @@ def shingle_components(
         twice = rows.groupBy("doc_id").agg((F.count("*") > 1).alias("many"))
         firsts = (
             rows.filter("n > 0").groupBy(F.col("node").alias("its")).agg(F.min("doc_id").alias("doc_id"))
-            .join(twice, "doc_id").select("its", F.col("doc_id").alias("first_id"), "many")
+            .join(twice.hint("merge"), "doc_id")    # a row a document: not for the driver
+            .select("its", F.col("doc_id").alias("first_id"), "many")
         )
         firsts = staged(firsts, "firsts")
         drawn = wanted_sets(source, lists.select("node"), firsts, words, sketch)

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard, meeting
+from corpusloom.llm import common, jaccard, meeting
 from corpusloom.llm.collisions import collision_search, near_duplicates, occurring, signature_sketch
 from corpusloom.llm.common import text_slices
 from corpusloom.llm.jaccard import bitmap_sketch, keep_one, link_components, tree_search
@@ -282,3 +282,43 @@ def test_pairs_of_many_near_copies_stay_small():
         tracemalloc.stop()
     assert len(set(zip(x.tolist(), y.tolist(), strict=True))) == len(overlap) == 500 * 499 // 2
     assert peak < 50 * len(overlap)
+
+
+def test_large_lookups_are_not_broadcast(spark):
+    """Beyond the bound nothing of the small table goes through the driver, whatever its size."""
+    small = common.staged(
+        spark.range(4000).selectExpr("id as key", "cast(id % 3 as long) as value"), "small"
+    )
+    big = spark.range(6000).selectExpr(
+        "case when id % 10 = 0 then null when id % 10 < 4 then 7 else id end as at", "id as no"
+    )
+    for options, broadcasts in (({}, 0), ({"salted_rows": 1000}, 2)):   # 2: of the one frequent key
+        got = common.left_lookup(big, small, "at", "key", "no", max_rows=100, **options)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join" in x]
+        assert "SortMergeJoin" in joins[0] and len(joins) == 1 + broadcasts, plan
+        assert got.columns == ["at", "no", "key", "value"]
+        rows = {(r["at"], r["no"]): (r["key"], r["value"]) for r in got.collect()}
+        assert rows == {
+            (a, n): (a, a % 3) if a is not None and a < 4000 else (None, None)
+            for a, n in ((r["at"], r["no"]) for r in big.collect())
+        }
+
+
+def test_long_rows_stay_in_place(spark):
+    """Up to eight million wanted ids move no text, and the driver gets 9 bytes of each."""
+    small = common.staged(
+        spark.range(0, 4000, 2).selectExpr("id * 1000003 as key", "id % 3 = 0 as many"), "small"
+    )
+    big = spark.range(5000).selectExpr("id * 1000003 as at", "cast(id as string) as text").repartition(3)
+    found = [
+        common.flagged(big, small, "at", "key", "many", "at", max_rows=m, packed_rows=p)
+        for m, p in ((5000, 9000), (100, 9000), (100, 200))
+    ]
+    wanted = {(i * 1000003, str(i), i % 3 == 0) for i in range(0, 4000, 2)}
+    for got in found:
+        assert got.columns == ["at", "text", "many"]
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == 2000 and set(rows) == wanted
+    plan = found[1]._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("ArrowEvalPython") == 1, plan
