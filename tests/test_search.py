@@ -41,6 +41,13 @@ def test_blockwise_equals_broadcast(spark, monkeypatch):
     assert hits(search.dense_topk(queries, corpus, 5, max_bytes=0)) == small
 
 
+def test_blocks_are_few(spark):
+    """720,000 vectors against as many: 11 copies of each and not 176."""
+    assert search.grid_blocks(720_000, 720_000, 64, 12) == (11, 11)
+    assert search.grid_blocks(720_000, 65_536, 64, 12) == (11, 5)       # every core has work
+    assert search.grid_blocks(100_000, 100_000, 3072, 1) == (25, 25)    # and no block is too wide
+
+
 def test_large_k_in_parts_equals_one_window(spark, monkeypatch):
     rows = [(q, i, float((i * 7 + q) % 11)) for q in range(3) for i in range(50)]
     scored = spark.createDataFrame(rows, "query_id long, chunk_id long, score double")
