@@ -98,3 +98,25 @@ def test_parts_grow_with_the_texts(spark, monkeypatch):
     placed = sparse.place_texts(texts(spark), "chunk_id", "text")
     assert placed.rdd.getNumPartitions() == -(-held // 8)
     assert sorted(map(str, sparse.term_counts(texts(spark)).collect())) == whole
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    """What a checkpoint was made of is deleted at once, not when the driver is short of memory."""
+    import time
+
+    from corpusloom.functions.memory import settled
+
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+
+    def held():
+        return tracker.shuffleStatuses().size()
+
+    settled(lambda: spark.range(1))     # leaves only what something still refers to
+    time.sleep(2)
+    before = held()
+    near = settled(lambda: sparse.term_neighbours(texts(spark)))
+    until = time.time() + 10
+    while held() > before and time.time() < until:
+        time.sleep(0.2)
+    assert held() <= before, (held(), before)
+    assert near.count() == len(neighbours_by_hand())
